@@ -84,8 +84,14 @@ def load(
         raise ValueError("by must be name or position")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    dynamic = "dynamic" if mode == "overwrite_partitions" else "static"
-    df.write.option("partitionOverwriteMode", dynamic).insertInto(table, mode != "append")
+    # insertInto takes this from the session only; the caller's value is put back.
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic" if mode == "overwrite_partitions" else "static")
+    try:
+        df.write.insertInto(table, overwrite=mode != "append")
+    finally:
+        conf.set(key, before)
 
 
 def replace_table(df: DataFrame, table: str) -> None:
