@@ -22,8 +22,13 @@ def _plain_times(df):
     )
 
 
+def _table(w, name: str) -> str:
+    """A pattern, since a table may be one file or a directory of files."""
+    return f"{w.path}/{{{name}}}.parquet"
+
+
 def _stream(w, name: str):
-    return jobs.stream_files(w.spark, w.path, SCHEMAS[name], f"{name}.parquet", "parquet")
+    return jobs.stream_files(w.spark, _table(w, name), SCHEMAS[name], fmt="parquet")
 
 
 def _timed(df):
@@ -94,7 +99,7 @@ def _(w):
 def _(w):
     sink, checkpoint = (scratch_path(w.spark, f"landing-{x}") for x in ("sink", "progress"))
     jobs.ingest_files(
-        w.spark, w.path, sink, checkpoint, SCHEMAS["orders"], "orders.parquet", fmt="parquet"
+        w.spark, _table(w, "orders"), sink, checkpoint, SCHEMAS["orders"], fmt="parquet"
     )
     return w.spark.read.schema(SCHEMAS["orders"]).parquet(sink).select(
         "o_orderkey", "o_custkey", "o_orderpriority"

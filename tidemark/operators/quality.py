@@ -128,8 +128,22 @@ def pseudonymize(df: DataFrame, salt: str, *columns: str) -> DataFrame:
     )
 
 
-def mask_text(df: DataFrame, column: str, pattern: str = EMAIL, mask: str = "***") -> DataFrame:
-    return df.withColumn(column, F.regexp_replace(column, pattern, mask))
+def mask_text(
+    df: DataFrame,
+    column: str,
+    pattern: str = EMAIL,
+    mask: str = "***",
+    contains: str | None = "@",
+) -> DataFrame:
+    """Replace every match of ``pattern``.
+
+    Texts without ``contains``, which every match must hold, skip the pattern.
+    """
+    c = F.col(column)
+    masked = F.regexp_replace(c, pattern, mask)
+    if contains is not None:
+        masked = F.when(F.contains(c, F.lit(contains)), masked).otherwise(c)
+    return df.withColumn(column, masked)
 
 
 def iqr_filter(

@@ -42,10 +42,11 @@ def join_on(left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool = Fal
 
 
 def distinct_keys(df: DataFrame, names: Sequence[str], null_safe: bool = False) -> DataFrame:
-    keys = df.select(*[F.col(n).alias(f"_key{i}") for i, n in enumerate(names)])
+    """Distinct key values; without ``null_safe`` only those that can equal anything."""
     if not null_safe:
-        keys = keys.na.drop(how="any")
-    return keys.distinct()
+        for name in names:
+            df = df.where(F.col(name).isNotNull())
+    return df.select(*[F.col(n).alias(f"_key{i}") for i, n in enumerate(names)]).distinct()
 
 
 def _membership(df, other, keys, how, null_safe):
