@@ -88,6 +88,22 @@ def test_a_sampled_cut_is_still_exact(spark, monkeypatch):
     _check(df, ["k"], 16)
 
 
+def test_masses_of_exact_copies(spark):
+    """Copies with nothing to tell them apart are numbered over several ranges."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k")
+    )
+    out = gw.global_row_number(df, ["k"], [], "rn", 8)
+    assert out.columns == ["k", "rn"]
+    rows = sorted(tuple(r) for r in out.collect())
+    assert [r[1] for r in rows] == list(range(1, 3001))
+    lagged = gw.global_lag(df, "k", ["k"], [], "prev", 8).collect()
+    keys = sorted(r["k"] for r in lagged)
+    assert sorted((r["k"], -1 if r["prev"] is None else r["prev"]) for r in lagged) == sorted(
+        zip(keys, [-1, *keys[:-1]])
+    )
+
+
 def test_rows_are_never_gathered_in_one_task(spark):
     """Only summaries, a row per range, may meet in a single partition."""
     df = _frame(spark, "hot")

@@ -80,6 +80,30 @@ def test_sliding_and_session_windows(spark):
     assert sorted((r["events"], r["total"]) for r in sessions.collect()) == [(1, 4.0), (2, 3.0)]
 
 
+def test_batch_sessions_equal_the_builtin(spark):
+    """Random gaps, gaps of exactly the limit, ties, several keys and null times."""
+    import random
+
+    rng, rows, now = random.Random(5), [], 1704067200
+    for i in range(600):
+        now += rng.choice([0, 60, 1799, 1800, 1801, 4000])
+        rows.append((rng.choice(["a", "a", "b", None]), now, float(i)))
+    rows.append(("a", None, 1.0))
+    df = spark.createDataFrame(rows, "k string, s bigint, v double").select(
+        "k", F.timestamp_seconds("s").alias("ts"), "v"
+    )
+    for keys in (["k"], []):
+        want = df.groupBy(F.session_window("ts", "30 minutes").alias("w"), *keys).agg(
+            F.count(F.lit(1)), F.sum("v")
+        ).select("w.start", "w.end", *keys, "count(1)", "sum(v)")
+        got = windowed_stats(df, "ts", "v", keys, session_gap="30 minutes").drop("mean")
+        assert _rows_text(got) == _rows_text(want)
+
+
+def _rows_text(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
 def test_events_and_alerts(spark, tmp_path):
     src, sink, progress = _dirs(tmp_path)
     _land(tmp_path, "a.csv", (1, "2024-01-01 00:05:00", 1), (2, "2024-01-01 00:05:00", 99))

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from tidemark.catalog.registry import query
 from tidemark.plans import marts as m
+from tidemark.session import scratch_path
+from tidemark.sources.files import read_parquet, write_parquet
 
 LINES = """SELECT customer_id, company_name, quantity
            FROM v_details JOIN v_orders USING (order_id) JOIN v_customers USING (customer_id)"""
@@ -40,7 +42,11 @@ def _(w):
         SELECT * FROM lines WHERE quantity > (SELECT avg(quantity) FROM lines)""",
 )
 def _(w):
-    return m.products_sold_above_average(_quantities(w))
+    """As the job runs it: the extract is written first, the mart reads it twice."""
+    extract = scratch_path(w.spark, "customer-quantities")
+    rows = _quantities(w)
+    write_parquet(rows, extract)
+    return m.products_sold_above_average(read_parquet(w.spark, extract, rows.schema))
 
 
 @query(

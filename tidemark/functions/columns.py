@@ -34,11 +34,11 @@ def parse_date(c: Column | str, *formats: str) -> Column:
 
 
 def epoch_to_date(c: Column | str, unit: str = "s") -> Column:
-    """Date (UTC session) of an epoch count in seconds or milliseconds."""
+    """UTC date of an epoch count in seconds or milliseconds, in any session zone."""
     if unit not in ("s", "ms"):
         raise ValueError("unit must be 's' or 'ms'")
-    maker = F.timestamp_seconds if unit == "s" else F.timestamp_millis
-    return maker(_c(c)).cast("date")
+    per_day = 86400 if unit == "s" else 86400000
+    return F.date_from_unix_date(F.floor(_c(c) / F.lit(per_day)).cast("int"))
 
 
 def map_labels(c: Column | str, mapping: Mapping[str, str]) -> Column:
@@ -67,5 +67,6 @@ def sign_label(difference: Column | str, above: str, equal: str, below: str) ->
 
 def tenure_days(start: Column | str, end: Column | str) -> Column:
     """Length in days as a fraction, for dates and for timestamps."""
-    seconds = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
-    return seconds / F.lit(86400000000.0)
+    length = _c(end).cast("timestamp_ntz") - _c(start).cast("timestamp_ntz")
+    seconds = length.cast("interval second").cast("decimal(18,6)").cast("double")
+    return seconds / F.lit(86400.0)

@@ -10,7 +10,8 @@ rows are cut into ranges of the sort key instead:
    shifted and broadcast back. Its size is bounded by the number of ranges.
 
 Rows are numbered on (order, tie); the tie columns should make the key unique, so
-that no key is heavier than one row and every range can be cut further. RANK only
+that no key is heavier than one row and every range can be cut further. Where they do
+not, and copies are found to outweigh a range, they are told apart by a written id. RANK only
 looks at the order columns. A key that coincides with a cut point, as any heavy key
 does, gets a range of its own. All rows there share one rank, so they need no
 window and no shuffle at all, however many there are.
@@ -28,6 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 Order = Sequence[str | tuple[str, str]]
 
 # Up to this many rows (counted, not guessed) one task sorts everything faster
@@ -52,9 +55,16 @@ class _Key:
         c = F.col(self.name)
         return c.asc_nulls_first() if self.descending else c.desc_nulls_first()
 
-    def precedes(self, a: Column, b: Column) -> Column:
-        less = (a > b) if self.descending else (a < b)
-        return F.coalesce(less, a.isNotNull() & b.isNull())
+    def after(self, cut: Column, has_null: bool) -> Column:
+        """Whether the row sorts after a cut value (nulls last)."""
+        own = F.col(self.name)
+        after = (cut > own) if self.descending else (cut < own)
+        # Unknown means one of the two is null; without null cuts it is the row's.
+        return F.coalesce(after, cut.isNotNull() & own.isNull() if has_null else F.lit(True))
+
+    def equals(self, cut: Column, has_null: bool) -> Column:
+        own = F.col(self.name)
+        return cut.eqNullSafe(own) if has_null else F.coalesce(cut == own, F.lit(False))
 
 
 def _keys(order: Order) -> list[_Key]:
@@ -67,14 +77,21 @@ def _keys(order: Order) -> list[_Key]:
     return out
 
 
-def _plan_ranges(df: DataFrame, keys: list[_Key], ranges: int | None) -> DataFrame | list | None:
-    """Cut points (rows of key values, in order), or None when one task is enough."""
+def _plan_ranges(
+    df: DataFrame, keys: list[_Key], ranges: int | None, whole_key: bool = False
+) -> list[tuple] | None:
+    """Cut points (key values, in order), or None when one task is enough.
+
+    A cut is as short a prefix of the key as keeps the cuts apart: leading columns
+    without heavy values are cheaper to compare alone. ``whole_key`` keeps all columns.
+    """
     frame = df.select(*[k.name for k in keys])
     rows = frame.count()
     if ranges is None:
         if rows <= SINGLE_TASK_ROWS:
             return None
-        parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Several ranges per task even out what hashing the range numbers does not.
+        parallel = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = min(MAX_RANGES, max(parallel, rows // ROWS_PER_RANGE))
     if ranges <= 1 or rows == 0:
         return None
@@ -82,43 +99,70 @@ def _plan_ranges(df: DataFrame, keys: list[_Key], ranges: int | None) -> DataFra
     if rows > wanted:
         frame = frame.sample(False, min(1.0, 1.2 * wanted / rows), _SEED)
     sample = frame.orderBy(*[k.sort() for k in keys]).collect()
-    step = len(sample) / ranges
-    cuts = []
-    for i in range(1, ranges):
-        row = tuple(sample[int(i * step)]) if sample else None
-        if row is not None and (not cuts or cuts[-1] != row):
-            cuts.append(row)
-    return cuts or None
-
-
-def _range_number(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> tuple[Column, Column]:
-    """(number of cuts at or before the row, whether the row equals the last of them)."""
-    columns = [
-        F.array(*[F.lit(cut[i]).cast(df.schema[k.name].dataType) for cut in cuts])
-        for i, k in enumerate(keys)
-    ]
+    if not sample:
+        return None
+    picked = [tuple(sample[i * len(sample) // ranges]) for i in range(1, ranges)]
+    if whole_key:
+        return list(dict.fromkeys(picked))
+    for length in range(1, len(keys) + 1):
+        cuts = [cut[:length] for cut in picked]
+        if len(set(cuts)) == len(cuts):
+            break
+    return cuts
+
+
+def _ranges_of_rows(df: DataFrame, keys: list[_Key], ranges: int | None):
+    """(rows, sort key, cuts) for numbering single rows.
+
+    Where even the whole key repeats so often that two cuts agree, as with masses of
+    exact copies, the rows get a further tie-breaker, written out so that it stays.
+    """
+    cuts = _plan_ranges(df, keys, ranges)
+    if cuts is not None and len(set(cuts)) < len(cuts) and df.count() > len(cuts):
+        df = materialize(df.withColumn("_copy", F.monotonically_increasing_id()))
+        keys = [*keys, _Key("_copy", False)]
+        cuts = _plan_ranges(df, keys, len(cuts) + 1)
+    return df, keys, None if cuts is None else list(dict.fromkeys(cuts))
+
+
+def _range_number(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> Column:
+    """Number of cuts at or before the row, by binary search in literal arrays."""
+    columns = _cut_columns(df, keys, cuts)
 
     def at_or_before(index: Column) -> Column:
         result = F.lit(True)
-        for k, values in reversed(list(zip(keys, columns, strict=True))):
-            cut, own = F.get(values, index), F.col(k.name)
-            result = k.precedes(cut, own) | (cut.eqNullSafe(own) & result)
+        for k, values, has_null in reversed(columns):
+            cut = F.get(values, index)
+            result = k.after(cut, has_null) | (k.equals(cut, has_null) & result)
         return result
 
     steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
-    number = F.aggregate(
+    return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda low, step: F.when(
             (low + step <= len(cuts)) & at_or_before(low + step - 1), low + step
         ).otherwise(low),
     )
+
+
+def _cut_columns(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> list:
+    out = []
+    for i, k in enumerate(keys[: len(cuts[0])]):
+        kind = df.schema[k.name].dataType
+        values = F.array(*[F.lit(cut[i]).cast(kind) for cut in cuts])
+        out.append((k, values, any(cut[i] is None for cut in cuts)))
+    return out
+
+
+def _on_cut(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> Column:
+    """Whether the row's key is the last cut at or before it."""
     last = F.col("_range") - 1
-    on_cut = reduce(
-        lambda a, b: a & b,
-        [F.get(v, last).eqNullSafe(F.col(k.name)) for k, v in zip(keys, columns, strict=True)],
-    )
-    return number, F.coalesce(F.col("_range") > 0, F.lit(False)) & on_cut
+    same = [
+        k.equals(F.get(values, last), has_null)
+        for k, values, has_null in _cut_columns(df, keys, cuts)
+    ]
+    return (F.col("_range") > 0) & reduce(lambda a, b: a & b, same)
 
 
 def _with_offsets(counts: DataFrame, key: str) -> DataFrame:
@@ -136,13 +180,12 @@ def global_row_number(
 ) -> DataFrame:
     """``row_number() OVER (ORDER BY order, tie)`` as bigint."""
     keys = _keys([*order, *tie])
-    cuts = _plan_ranges(df, keys, ranges)
+    df, keys, cuts = _ranges_of_rows(df, keys, ranges)
     if cuts is None:
         return df.withColumn(
             name, F.row_number().over(Window.orderBy(*_ordering(keys))).cast("bigint")
         )
-    number, _ = _range_number(df, keys, cuts)
-    ranged = df.withColumn("_range", number)
+    ranged = df.withColumn("_range", _range_number(df, keys, cuts))
     offsets = _with_offsets(
         ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")), "_range"
     )
@@ -151,7 +194,7 @@ def global_row_number(
         ranged.withColumn("_local", local)
         .join(offsets, F.col("_range") == F.col("_summary_key"))
         .withColumn(name, F.col("_offset") + F.col("_local"))
-        .drop("_range", "_local", "_summary_key", "_offset")
+        .drop("_range", "_local", "_summary_key", "_offset", "_copy")
     )
 
 
@@ -160,14 +203,13 @@ def global_rank(
 ) -> DataFrame:
     """``rank() OVER (ORDER BY order)`` as bigint; equal keys share a rank."""
     keys = _keys(order)
-    cuts = _plan_ranges(df, keys, ranges)
+    cuts = _plan_ranges(df, keys, ranges, whole_key=True)
     if cuts is None:
         return df.withColumn(name, F.rank().over(Window.orderBy(*_ordering(keys))).cast("bigint"))
-    number, on_cut = _range_number(df, keys, cuts)
     # Even numbers hold the rows equal to a cut point, odd ones the rows between.
     ranged = (
-        df.withColumn("_range", number)
-        .withColumn("_on_cut", on_cut)
+        df.withColumn("_range", _range_number(df, keys, cuts))
+        .withColumn("_on_cut", _on_cut(df, keys, cuts))
         .withColumn("_part", 2 * F.col("_range") + F.when(F.col("_on_cut"), 0).otherwise(1))
     )
     offsets = _with_offsets(
@@ -211,12 +253,11 @@ def global_lead(
 
 def _shifted(df, value, order, tie, name, ranges, forward):
     keys = _keys([*order, *tie])
-    cuts = _plan_ranges(df, keys, ranges)
+    df, keys, cuts = _ranges_of_rows(df, keys, ranges)
     shift = F.lead if forward else F.lag
     if cuts is None:
         return df.withColumn(name, shift(value, 1).over(Window.orderBy(*_ordering(keys))))
-    number, _ = _range_number(df, keys, cuts)
-    ranged = df.withColumn("_range", number)
+    ranged = df.withColumn("_range", _range_number(df, keys, cuts))
     within = Window.partitionBy("_range")
     # The row next to a range's edge: its last row for lag, its first for lead.
     edge_order = _ordering(keys) if forward else [k.reverse() for k in keys]
@@ -237,5 +278,5 @@ def _shifted(df, value, order, tie, name, ranges, forward):
         .withColumn("_at_edge", at_edge)
         .join(fill, F.col("_range") == F.col("_summary_key"))
         .withColumn(name, F.when(F.col("_at_edge"), F.col("_fill")).otherwise(F.col("_own")))
-        .drop("_range", "_own", "_at_edge", "_summary_key", "_fill")
+        .drop("_range", "_own", "_at_edge", "_summary_key", "_fill", "_copy")
     )

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import epoch_to_date, ratio
+from tidemark.functions import epoch_to_date
 from tidemark.operators.aggregate import above_average
 from tidemark.operators.relational import join_on
+from tidemark.session import materialize
 
 
 def customer_quantities(
@@ -29,7 +30,7 @@ def order_companies(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return join_on(
         orders.select(
             "order_id",
-            F.unix_seconds(F.col("shipped_date").cast("timestamp")).alias("shipped_date"),
+            (F.unix_date("shipped_date").cast("bigint") * 86400).alias("shipped_date"),
             F.col("customer_id").alias("buyer_id"),
         ),
         customers.select("customer_id", "company_name", "phone"),
@@ -49,12 +50,16 @@ def products_sold_above_average(quantities: DataFrame) -> DataFrame:
 
 
 def customers_above_average_quantity(quantities: DataFrame) -> DataFrame:
-    """Customers whose total is above the mean customer total."""
-    totals = quantities.groupBy("customer_id", "company_name").agg(
-        F.sum("quantity").alias("quantity")
+    """Customers whose total is above the mean customer total.
+
+    The totals feed both the mean and the result, so they are written out once.
+    """
+    totals = materialize(
+        quantities.groupBy("customer_id", "company_name").agg(
+            F.sum("quantity").alias("quantity")
+        )
     )
-    mean = totals.select(ratio(F.sum("quantity"), F.count("quantity"))).scalar()
-    return totals.where(F.col("quantity") > mean)
+    return above_average(totals, "quantity")
 
 
 def products_sent_discounted(
