@@ -37,7 +37,7 @@ def main(sf_dir, keys):
         start = time.time()
         try:
             if key in sqls:
-                problem, rows = oracle.compare(spark, con, key, build, sqls[key], sf_dir)
+                problem, rows = oracle.compare(con, build(spark, sf_dir), sqls[key])
             else:
                 problem, rows = None, build(spark, sf_dir).count()
         except Exception as exc:  # noqa: BLE001

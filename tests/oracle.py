@@ -40,9 +40,8 @@ KINDS = {
 }
 
 
-def compare(spark, con, key, build, sql, sf_dir):
+def compare(con, df, sql):
     """(problem or None, number of rows)"""
-    df = build(spark, sf_dir)
     got = df.collect()
     rel = con.sql(sql)
     names, types = rel.columns, [str(t) for t in rel.types]
