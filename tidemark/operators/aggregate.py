@@ -83,9 +83,12 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def counts_by_hue(df: DataFrame, y: str, hue: str) -> DataFrame:
     """Chart data: rows per (y, hue) with the total of y, most frequent y first.
 
-    A null category is not shown; a null hue counts in the total only.
+    A null category is not shown; a null hue counts in the total only. The rows are
+    counted once; totals come from the counts.
     """
-    cells = df.where(F.col(y).isNotNull()).groupBy(y, hue).agg(F.count(F.lit(1)).alias("cases"))
+    cells = materialize(
+        df.where(F.col(y).isNotNull()).groupBy(y, hue).agg(F.count(F.lit(1)).alias("cases"))
+    )
     return (
         with_group_stats(cells, [y], {"total_cases": F.sum("cases")})
         .where(F.col(hue).isNotNull())
@@ -94,11 +97,25 @@ def counts_by_hue(df: DataFrame, y: str, hue: str) -> DataFrame:
     )
 
 
+def mean_by_group(
+    df: DataFrame, group: str, value: str, name: str, overall: str
+) -> DataFrame:
+    """Mean per group next to the mean of all rows, from one pass over the rows."""
+    sums = materialize(
+        df.groupBy(group).agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    )
+    total = sums.select(ratio(F.sum("_sum"), F.sum("_n"))).scalar()
+    return sums.select(
+        group, ratio(F.col("_sum"), F.col("_n")).alias(name), total.alias(overall)
+    )
+
+
 def top_share(df: DataFrame, key: str, k: int) -> DataFrame:
     """Share of all rows held by the ``k`` most frequent keys (null is no key)."""
-    groups = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("cases"))
-    top = top_k(groups, [F.col("cases").desc(), F.col(key).asc()], k)
-    total = df.select(F.count(F.lit(1))).scalar()
+    groups = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("cases")))
+    named = groups.where(F.col(key).isNotNull())
+    top = top_k(named, [F.col("cases").desc(), F.col(key).asc()], k)
+    total = groups.select(F.sum("cases")).scalar()
     return top.agg(F.sum("cases").alias("top_cases")).select(
         "top_cases",
         total.alias("total_cases"),

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import (
     parse_date,
     range_midpoint,
-    ratio,
     sign_label,
     tenure_days,
 )
-from tidemark.operators.aggregate import counts_by_hue, top_share
+from tidemark.operators.aggregate import counts_by_hue, mean_by_group, top_share
 from tidemark.operators.relational import join_dimension_twice
 
 # Headers of the delivered file and the feature columns.
@@ -75,13 +74,7 @@ def churn_counts(features: DataFrame, by: str, hue: str) -> DataFrame:
 
 def mean_tenure_by_area(features: DataFrame) -> DataFrame:
     """Mean days per area next to the overall mean."""
-    days = F.col("antiguedad")
-    overall = features.select(ratio(F.sum(days), F.count(days))).scalar()
-    return (
-        features.groupBy("area")
-        .agg(ratio(F.sum(days), F.count(days)).alias("mean_days"))
-        .withColumn("overall_mean_days", overall)
-    )
+    return mean_by_group(features, "area", "antiguedad", "mean_days", "overall_mean_days")
 
 
 def top_managers_share(features: DataFrame, k: int = 3) -> DataFrame:
