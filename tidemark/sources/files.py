@@ -1,4 +1,4 @@
-"""File sources. Schemas are given by the caller, so no file is read to guess one."""
+"""File sources. A given schema saves reading a file to find one."""
 
 from __future__ import annotations
 
@@ -15,22 +15,21 @@ def text_schema(*names: str) -> T.StructType:
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType | str,
+    schema: T.StructType | str | None = None,
     sep: str = ",",
     header: bool = True,
     source_file: str | None = None,
 ) -> DataFrame:
     """Delimited files: one file, several, or a directory.
 
+    Without a schema the header line names the columns and all of them are text.
     ``source_file`` names a column that gets the path each row came from.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", header)
-        .option("enforceSchema", not header)
-        .csv(path)
-    )
+    reader = spark.read.option("sep", sep).option("header", header)
+    if schema is not None:
+        # Headers are checked against the schema instead of being ignored.
+        reader = reader.schema(schema).option("enforceSchema", not header)
+    df = reader.csv(path)
     return df if source_file is None else df.withColumn(source_file, F.col("_metadata.file_path"))
 
 
