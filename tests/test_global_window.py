@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import random
 
+import oracle
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tidemark.operators import global_window as gw
 
 
@@ -88,6 +90,41 @@ def test_a_sampled_cut_is_still_exact(spark, monkeypatch):
     _check(df, ["k"], 16)
 
 
+KEY_TYPES = {
+    "double": "CASE WHEN id % 50 = 0 THEN double('NaN') ELSE id / 7.0D END",
+    "float": "float(id / 3.0D)",
+    "decimal": "cast(id / 3 as decimal(20, 6))",
+    "date": "date_add(date'1999-12-01', int(id))",
+    "timestamp": "timestamp_micros(1700000000123456 + id * 1000003)",
+    "ntz": "timestamp_ntz'2024-03-10 01:59:59.999' + make_interval(0, 0, 0, 0, 0, int(id), 0)",
+    "text": "concat(char(34 + id % 60), '\"\\\\ é\t', id)",
+    "flag": "id % 2 = 0",
+}
+
+
+@pytest.mark.parametrize("kind", KEY_TYPES)
+def test_every_kind_of_key(spark, kind):
+    df = spark.range(300).select(
+        F.col("id").cast("int").alias("id"),
+        F.when(F.col("id") % 11 > 0, F.expr(KEY_TYPES[kind])).alias("k"),
+        F.col("id").alias("v"),
+    )
+    plan = gw.global_row_number(df, ["k"], ["id"], "rn", 9)._jdf.queryExecution()
+    assert "from_json" not in plan.optimizedPlan().toString()
+    _check(df, [("k", "desc")], 9)
+
+
+@pytest.mark.parametrize(
+    "key", ["prev_quantity", "price_rank", "customer_sales_rank", "next_price", "prev_order_date",
+            "customer_row_number"])
+def test_queries_over_ranges(spark, sf_dir, monkeypatch, key):
+    """The registered queries again, with inputs made to count as large."""
+    monkeypatch.setattr(gw, "SINGLE_TASK_ROWS", 10)
+    df = entry.queries()[key](spark, sf_dir)
+    problem, _ = oracle.compare(oracle.connect(sf_dir), df, entry.oracle_sql()[key])
+    assert problem is None, problem
+
+
 def test_masses_of_exact_copies(spark):
     """Copies with nothing to tell them apart are numbered over several ranges."""
     df = spark.range(3000).select(

@@ -22,12 +22,14 @@ summary, result): pass derived frames through ``session.materialize`` first.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import materialize
 
@@ -125,15 +127,30 @@ def _ranges_of_rows(df: DataFrame, keys: list[_Key], ranges: int | None):
     return df, keys, None if cuts is None else list(dict.fromkeys(cuts))
 
 
+def _cut_array(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> Column:
+    """The cuts as one literal array of structs, which the optimizer folds.
+
+    Only their order matters for the result, not that a value survives unchanged.
+    """
+    width = len(cuts[0])
+    fields = [
+        T.StructField(f"k{i}", df.schema[k.name].dataType) for i, k in enumerate(keys[:width])
+    ]
+    rows = [{f"k{i}": v for i, v in enumerate(cut) if v is not None} for cut in cuts]
+    text = json.dumps(rows, default=lambda v: v.isoformat() if hasattr(v, "isoformat") else str(v))
+    return F.from_json(F.lit(text), T.ArrayType(T.StructType(fields)), {"mode": "FAILFAST"})
+
+
 def _range_number(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> Column:
-    """Number of cuts at or before the row, by binary search in literal arrays."""
-    columns = _cut_columns(df, keys, cuts)
+    """Number of cuts at or before the row, by binary search."""
+    array, nulls = _cut_array(df, keys, cuts), _null_columns(cuts)
 
     def at_or_before(index: Column) -> Column:
+        cut = F.get(array, index)
         result = F.lit(True)
-        for k, values, has_null in reversed(columns):
-            cut = F.get(values, index)
-            result = k.after(cut, has_null) | (k.equals(cut, has_null) & result)
+        for i, has_null in reversed(list(enumerate(nulls))):
+            value = cut[f"k{i}"]
+            result = keys[i].after(value, has_null) | (keys[i].equals(value, has_null) & result)
         return result
 
     steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
@@ -146,21 +163,15 @@ def _range_number(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> Column:
     )
 
 
-def _cut_columns(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> list:
-    out = []
-    for i, k in enumerate(keys[: len(cuts[0])]):
-        kind = df.schema[k.name].dataType
-        values = F.array(*[F.lit(cut[i]).cast(kind) for cut in cuts])
-        out.append((k, values, any(cut[i] is None for cut in cuts)))
-    return out
+def _null_columns(cuts: list[tuple]) -> list[bool]:
+    return [any(v is None for v in column) for column in zip(*cuts, strict=True)]
 
 
 def _on_cut(df: DataFrame, keys: list[_Key], cuts: list[tuple]) -> Column:
     """Whether the row's key is the last cut at or before it."""
-    last = F.col("_range") - 1
+    last = F.get(_cut_array(df, keys, cuts), F.col("_range") - 1)
     same = [
-        k.equals(F.get(values, last), has_null)
-        for k, values, has_null in _cut_columns(df, keys, cuts)
+        keys[i].equals(last[f"k{i}"], has_null) for i, has_null in enumerate(_null_columns(cuts))
     ]
     return (F.col("_range") > 0) & reduce(lambda a, b: a & b, same)
 
