@@ -33,3 +33,14 @@ def words_of(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, F.split(trimmed, SPACE_RUN)).otherwise(
         F.array().cast("array<string>")
     )
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique ``row``: ``doc_id`` itself where ids are whole numbers, unique
+    and not null, else a number given in a written copy. A column of that name is replaced."""
+    docs = docs.drop("row")
+    if dict(docs.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint"):
+        odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+        if odd.isEmpty():
+            return docs.withColumn("row", F.col("doc_id").cast("long"))
+    return written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered-rows")

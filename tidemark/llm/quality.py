@@ -52,8 +52,10 @@ class Rules:
     # Least lengths for a verdict by divergence.
     judged_words: int = 30
     judged_chars: int = 150
-    max_class_distance: float = 0.25
-    max_word_distance: float = 0.45
+    # Greatest distances: a fixed part, and one that falls with the root of the words, as
+    # the histograms of short texts stray further by chance.
+    class_distance: tuple[float, float] = (0.17, 0.5)
+    word_distance: tuple[float, float] = (0.28, 1.5)
 
 
 def vocabulary(lists: dict[str, str] = COMMON_WORDS) -> list[str]:
@@ -194,9 +196,11 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         ((F.col("n_words") < rules.min_words)
          | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))).alias("base_failed"),
     )
-    near = (F.coalesce("class_distance", F.lit(0.0)) <= rules.max_class_distance) & (
-        F.coalesce("word_distance", F.lit(0.0)) <= rules.max_word_distance
-    )
+    stray = 1 / F.sqrt(F.col("n_words"))
+    near = F.lit(True)
+    for name in ("class_distance", "word_distance"):
+        fixed, falling = getattr(rules, name)
+        near &= F.coalesce(F.col(name) <= fixed + falling * stray, F.lit(True))
     return rows.withColumn("kept", ~F.col("base_failed") & near).drop("_chars")
 
 

@@ -35,9 +35,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import numbered, table, written
 from tidemark.llm.hashing import Stretches, U, mixed
 
 PIECE = 1 << 20
@@ -58,17 +58,6 @@ class Depth:
         return self.depth - self.gram + 1
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, row``, row unique: the id itself where ids are whole numbers, unique
-    and not null, else a number given in a written copy."""
-    given = docs.select("doc_id", "text")
-    if dict(given.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint"):
-        odd = given.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1)
-        if not odd.count():
-            return given.withColumn("row", F.col("doc_id").cast("long"))
-    return written(given.withColumn("row", F.monotonically_increasing_id()), "numbered-rows")
-
-
 def _blocks(rows: list[int], raws: list[bytes], depth: int) -> Iterator[tuple]:
     """Blocks of about PIECE bytes: bytes, and for each stretch its place in the block, its row and
     where it starts in its text. Long texts come in stretches that overlap by ``depth - 1``."""
@@ -326,8 +315,18 @@ def cut_texts(docs: DataFrame, rule: Depth = Depth()) -> DataFrame:
     )
 
 
+def as_text(kept: Column) -> Column:
+    """Bytes as text; bytes of a character that was cut in two are dropped."""
+
+    @F.pandas_udf("string")
+    def decode(raws: pd.Series) -> pd.Series:
+        return raws.map(lambda raw: raw.decode("utf-8", "ignore"), na_action="ignore")
+
+    return decode(kept)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = numbered(table(spark, sf_dir, "documents"))
+    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     none = F.lit(0).cast("long")
     # Texts that lose nothing are digested where they are; only digests are joined.
