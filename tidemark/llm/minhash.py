@@ -43,7 +43,7 @@ MANTISSA = 10
 BAND = 4
 EMPTY = 0xFFFF
 BLOCK = 256
-PIECE = 1 << 22
+PIECE = 1 << 19
 SPREAD = 6.0
 # Stand-ins for null ids lie above all ids.
 UNNAMED = 1 << 62
