@@ -97,8 +97,9 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(rows: list[int], raws: list[bytes], rule: Depth) -> Iterator[pd.DataFrame]:
-    """Pass 1: ``gram, run, row, first, n, anchor`` for every run of suffixes with one anchor.
-    ``run`` is the digit of pass 2."""
+    """Pass 1: ``gram, run, row, place`` for every run of suffixes with one anchor. ``run`` is
+    the digit of pass 2; ``place`` holds the first suffix, and in its low bytes their
+    number and how far behind the first the anchor stands, both at most the span."""
     for data, starts, row, offset in _blocks(rows, raws, rule.depth):
         hashed = Stretches(data)
         grams = hashed.sliding(rule.gram)
@@ -131,14 +132,18 @@ def runs(rows: list[int], raws: list[bytes], rule: Depth) -> Iterator[pd.DataFra
                 "gram": grams[at].view(np.int64),
                 "run": run.view(np.int64),
                 "row": row[part],
-                "first": first + shift,
-                "n": (stop - first).astype(np.int32),
-                "anchor": at + shift,
+                "place": ((first + shift) << 20) | ((stop - first) << 10) | (at - first),
             }
         )
 
 
-_RUNS = "gram long, run long, row long, first long, n int, anchor long"
+_RUNS = "gram long, run long, row long, place long"
+
+
+def _unfolded(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First suffix, number of suffixes, anchor."""
+    first = place >> 20
+    return first, (place >> 10) & 1023, first + (place & 1023)
 
 
 def all_runs(docs: DataFrame, rule: Depth) -> DataFrame:
@@ -157,18 +162,20 @@ def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - first, counts) + np.arange(total)
 
 
-def _stretches(batches: Iterator[pd.DataFrame], fields: list[str], reach: int) -> Iterator[tuple]:
-    """Row, bytes, where they start in the text, and the structs of ``open`` that begin within
-    a stretch of PIECE bytes (one line a struct, places relative to the stretch)."""
+def _stretches(
+    batches: Iterator[pd.DataFrame], fields: list[str], reach: int, bits: int = 0
+) -> Iterator[tuple]:
+    """Row, bytes, where they start in the text, and the structs of ``open`` (a line each) that
+    begin within a stretch of PIECE bytes. The first field, less ``bits``, is the place."""
     for batch in batches:
         for r in batch.itertuples(index=False):
             raw = np.frombuffer(r.text.encode(), np.uint8)
             todo = np.array([[o[f] for f in fields] for o in r.open], np.int64)
             todo = todo[np.argsort(todo[:, 0], kind="stable")]
-            part = todo[:, 0] // PIECE
+            part = (todo[:, 0] >> bits) // PIECE
             for lines in np.split(todo, np.flatnonzero(part[1:] != part[:-1]) + 1):
-                base = int(lines[0, 0])
-                yield r.row, raw[base : int(lines[:, 0].max()) + reach], base, lines
+                base, last = int(lines[0, 0]) >> bits, int(lines[-1, 0]) >> bits
+                yield r.row, raw[base : last + reach], base, lines
 
 
 def _gathered(found: Iterator[dict]) -> Iterator[pd.DataFrame]:
@@ -186,13 +193,14 @@ def _gathered(found: Iterator[dict]) -> Iterator[pd.DataFrame]:
 
 def cores(docs: DataFrame, rule: Depth) -> DataFrame:
     """Pass 3: ``core, row, low, high`` for rows with ``row, text`` and an array ``open`` of
-    structs ``first, n, anchor``: suffixes ``low`` to ``high`` share the core."""
+    structs ``place``: suffixes ``low`` to ``high`` share the core."""
 
     def each(batches):
-        for row, data, base, todo in _stretches(batches, ["first", "n", "anchor"], 4 * rule.depth):
+        for row, data, base, todo in _stretches(batches, ["place"], 4 * rule.depth, 20):
             hashed = Stretches(data, 2)
-            first, anchor = todo[:, 0] - base, todo[:, 2] - base
-            last = first + todo[:, 1] - 1
+            first, n, anchor = _unfolded(todo[:, 0])
+            first, anchor = first - base, anchor - base
+            last = first + n - 1
             # By distance before the anchor, in steps.
             near, far = (anchor - last) // STEP, (anchor - first) // STEP
             counts = far - near + 1
@@ -241,7 +249,8 @@ def _with_open(docs: DataFrame, parts: DataFrame, *fields: str) -> DataFrame:
 def repeated_starts(docs: DataFrame, rule: Depth = Depth()) -> tuple[DataFrame, DataFrame]:
     """``row, low, high``: suffixes of ``row, text`` whose first ``depth`` bytes start at
     another place too (ranges may name a place again); and the texts they may be in."""
-    found = written(all_runs(docs, rule), "suffix-runs")
+    # Made twice rather than written: the runs of all texts are larger than what they cost.
+    found = all_runs(docs, rule)
     twice = written(
         found.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"), "repeated-anchors"
     )
@@ -250,17 +259,19 @@ def repeated_starts(docs: DataFrame, rule: Depth = Depth()) -> tuple[DataFrame,
     texts = written(docs.select("row", "text").join(rows, "row", "left_semi"), "anchored-texts")
     groups = written(
         found.groupBy("gram", "run").agg(
-            F.count("*").alias("m"), F.min(F.struct("row", "first", "n", "anchor")).alias("one")
+            F.count("*").alias("m"), F.min(F.struct("row", "place")).alias("one")
         ),
         "run-groups",
     )
+    first = F.shiftright("place", 20)
+    n = F.shiftright("place", 10).bitwiseAND(F.lit(1023))
     whole = found.join(groups.where("m > 1").select("gram", "run"), ["gram", "run"]).select(
-        "row", F.col("first").alias("low"), (F.col("first") + F.col("n") - 1).alias("high")
+        "row", first.alias("low"), (first + n - 1).alias("high")
     )
     # One run for each group, where an anchor has several groups.
     several = written(groups.groupBy("gram").agg(F.count("*").alias("g")).where("g > 1").select("gram"), "mixed-anchors")
     open_ = groups.join(several, "gram").select("one.*")
-    core = written(cores(_with_open(texts, open_, "first", "n", "anchor"), rule), "suffix-cores")
+    core = written(cores(_with_open(texts, open_, "place"), rule), "suffix-cores")
     same = written(core.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core"), "repeated-cores")
     left = core.join(same, "core").select("row", "low", "high")
     digits = written(last_digits(_with_open(texts, left, "low", "high"), rule), "suffix-digits")
