@@ -106,13 +106,22 @@ def counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One narrow row for each document: the base counts and both histograms."""
     vocab = vocabulary()
     text = F.col("_text")
-    by_class = []
+    # Longer words are none of the vocabulary, with up to three marks behind them.
+    longest = max(map(len, vocab)) + 3
+    short = F.filter("_words", lambda w: F.length(w) <= longest)
+    plain = lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?"))
+    # Each class is taken out of what the ones before have left, which soon is little.
+    by_class = docs.select("doc_id", "lang", text_or_empty().alias("_text")).withColumn("_left", text)
     for kind, what in CLASSES.items():
-        rest = F.regexp_replace(text, what, "") if what[0] == "\\" else F.translate(text, what, "")
-        by_class.append((F.length(text) - F.length(rest)).cast("long").alias(f"_c_{kind}"))
+        left = F.col("_left")
+        rest = F.regexp_replace(left, what, "") if what[0] == "\\" else F.translate(left, what, "")
+        by_class = by_class.withColumn("_rest", rest).select(
+            *(c for c in by_class.columns if c != "_left"),
+            (F.length("_left") - F.length("_rest")).alias(f"_c_{kind}"),
+            F.col("_rest").alias("_left"),
+        )
     rows = (
-        docs.select("doc_id", "lang", text_or_empty().alias("_text"))
-        .select("doc_id", "lang", "_text", words_of(text).alias("_words"))
+        by_class.withColumn("_words", words_of(text))
         .select(
             "doc_id",
             "lang",
@@ -120,18 +129,23 @@ def counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
             "_words",
             F.size("_words").cast("long").alias("n_words"),
             F.filter(F.split("_text", "\n"), lambda x: F.length(F.trim(x, F.lit(SPACES))) > 0).alias("_lines"),
-            F.filter(
-                F.transform("_words", lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?"))),
-                lambda w: w.isin(*vocab),
-            ).alias("_common"),
+            F.array_join(F.filter(F.transform(short, plain), lambda w: w.isin(*vocab)), "  ").alias("_common"),
             F.length("_text").cast("long").alias("_chars"),
-            *by_class,
+            *(F.col(f"_c_{k}").cast("long").alias(f"_c_{k}") for k in CLASSES),
             repeated_words(F.col("_words"), rules.window).alias("n_repeat_words"),
         )
     )
     known = sum((F.col(f"_c_{k}") for k in CLASSES), F.lit(0))
-    listed = F.array(*(F.lit(w) for w in vocab))
-    return rows.select(
+    # Common words stand between blanks of their own, so that taking one out leaves the rest.
+    joined = F.concat(F.lit(" "), F.col("_common"), F.lit(" "))
+    found = F.array(
+        *(
+            ((F.length(joined) - F.length(F.replace(joined, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("long")
+            for w in vocab
+        )
+    )
+    rest = F.col("n_words") - F.aggregate("_found", F.lit(0).cast("long"), lambda a, x: a + x)
+    return rows.withColumn("_found", found).select(
         "doc_id",
         "lang",
         "n_words",
@@ -141,10 +155,7 @@ def counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "n_repeat_words",
         "_chars",
         F.array(*(f"_c_{k}" for k in CLASSES), F.col("_chars") - known).alias("_classes"),
-        F.concat(
-            F.transform(listed, lambda v: F.size(F.filter("_common", lambda w: w == v)).cast("long")),
-            F.array(F.col("n_words") - F.size("_common")),
-        ).alias("_hist"),
+        F.concat("_found", F.array(rest)).alias("_hist"),
     )
 
 
