@@ -13,9 +13,11 @@ that chance alone would give, must come within six deviations of the threshold.
 
 All pairs of a band are never made. First each class is paired with the least member of each
 of its bands, the most promising of these pairs is verified, and components are formed. Then
-only bands that still hold two components are looked at: their members are dealt
-into blocks, blocks are compared with blocks, and pairs within a component are passed over.
-A link is thus lost only inside a component, where it changes nothing.
+only bands that still hold two components are looked at: their members are dealt into blocks,
+and blocks compared with blocks, pairs within a component being passed over. As long as the best
+partner of each member still links some, only those are verified and components formed anew;
+at last all promising pairs that still lie across components are. A link is thus left out
+only inside a component, where it changes nothing.
 
 Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer
 words than a shingle is one shingle; texts are taken whole, in pieces of bounded size; rows
@@ -42,7 +44,7 @@ BUCKETS = 1 << BUCKET_BITS
 MANTISSA = 10
 BAND = 4
 EMPTY = 0xFFFF
-BLOCK = 256
+BLOCK = 512
 PIECE = 1 << 19
 SPREAD = 6.0
 # Stand-ins for null ids lie above all ids.
@@ -248,21 +250,18 @@ def shingle_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.select("text").mapInPandas(sets, "k1 long, k2 long, grams binary")
 
 
-def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Similarity estimates of rows of registers, and the registers they rest on. Equal
-    registers that unequal least values would give are taken off: about 0.17 * 2**-MANTISSA
-    of those in use, most for sets of equal size."""
-    used = ((a != EMPTY) | (b != EMPTY)).sum(axis=-1)
-    equal = ((a == b) & (a != EMPTY)).sum(axis=-1)
+def corrected(equal, used, na, nb) -> np.ndarray:
+    """Similarity from the equal registers among those in use. Equal registers that unequal
+    least values would give are taken off: about 0.17 * 2**-MANTISSA of those in use, most for
+    sets of equal size."""
     ratio = np.minimum(na, nb) / np.maximum(np.maximum(na, nb), 1)
     chance = 0.169919487 * used * 2.0**-MANTISSA * 4 * ratio / (1 + ratio) ** 2
-    return (equal - chance) / np.maximum(used - chance, 1e-9), used
+    return (equal - chance) / np.maximum(used - chance, 1e-9)
 
 
-def promising(a, b, na, nb, rule: Rule) -> np.ndarray:
-    """Whether a pair may be linked: sizes allow it, and the estimate is near enough."""
+def near_enough(found, used, na, nb, rule: Rule) -> np.ndarray:
+    """Whether a pair may be linked: sizes allow it, and the estimate comes near."""
     t = rule.percent / 100
-    found, used = estimate(a, b, na, nb)
     margin = SPREAD * np.sqrt(t * (1 - t) / np.maximum(used, 1))
     return (100 * np.minimum(na, nb) >= rule.percent * np.maximum(na, nb)) & (found >= t - margin)
 
@@ -289,47 +288,161 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(linked("ga", "gb")).select("a", "b")
 
 
-def _block_pairs(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
-    """Promising pairs across components of rows sorted by block pair (key, bi, bj)."""
-
-    def compare(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        same = bool(rows["bi"].iat[0] == rows["bj"].iat[0])
-        here = rows["at"].to_numpy() == rows["bi"].iat[0]
-        left, right = np.flatnonzero(here), np.flatnonzero(here if same else ~here)
-        regs, ids = _rows(rows["sketch"]), rows["id"].to_numpy()
-        size, label = rows["n"].to_numpy(), rows["label"].to_numpy()
-        band = int(rows["band"].iat[0])
-        xs, ys = [], []
-        for i in left:
-            j = right[right > i] if same else right
-            j = j[label[j] != label[i]]
-            j = j[promising(regs[i][None, :], regs[j], size[i], size[j], rule)]
-            if not len(j):
-                continue
-            # Only in the first band they share.
-            equal = (regs[j] == regs[i]).reshape(len(j), -1, BAND).all(axis=2)
-            equal &= (regs[i] != EMPTY).reshape(-1, BAND).any(axis=1)
-            j = j[equal.argmax(axis=1) == band]
-            xs.append(np.full(len(j), ids[i]))
-            ys.append(ids[j])
-        empty = np.zeros(0, np.int64)
-        return (np.concatenate(xs), np.concatenate(ys)) if xs else (empty, empty)
+BLOCKS = ["band", "key", "bi", "bj"]
 
+
+def _by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each pair of blocks, from rows sorted by BLOCKS."""
     held = None
     for batch in batches:
         rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if not len(rows):
             continue
-        keys = rows[["band", "key", "bi", "bj"]].to_numpy()
-        edge = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        cuts = np.r_[0, edge]
-        out = [compare(rows.iloc[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        keys = rows[BLOCKS].to_numpy()
+        cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield rows.iloc[a:b]
         held = rows.iloc[cuts[-1] :]
-        if out:
-            yield pd.DataFrame({"x": np.concatenate([o[0] for o in out]), "y": np.concatenate([o[1] for o in out])})
     if held is not None:
-        x, y = compare(held)
-        yield pd.DataFrame({"x": x, "y": y})
+        yield held
+
+
+def _candidates(rows: pd.DataFrame, rule: Rule, best: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the promising pairs across components in one pair of blocks: of each row
+    the best one, or all those whose first shared band this is."""
+    one = rows.iloc[0]
+    same, band = bool(one["bi"] == one["bj"]), int(one["band"])
+    here = rows["at"].to_numpy() == one["bi"]
+    left, right = np.flatnonzero(here), np.flatnonzero(here if same else ~here)
+    regs, size, label = _rows(rows["sketch"]), rows["n"].to_numpy(), rows["label"].to_numpy()
+    filled = (regs != EMPTY).astype(np.float32)
+    count = filled.sum(axis=1)
+    used = count[left][:, None] + count[right][None, :] - filled[left] @ filled[right].T
+    xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for row, i in enumerate(left):
+        fine = label[right] != label[i]
+        if same:
+            fine &= right > i
+        j = right[fine]
+        if not len(j):
+            continue
+        in_use = used[row][fine]
+        # Registers empty in both are equal too.
+        alike = regs[j] == regs[i]
+        equal = alike.sum(axis=1) - (BUCKETS - in_use)
+        found = corrected(equal, in_use, size[i], size[j])
+        good = near_enough(found, in_use, size[i], size[j], rule)
+        if not good.any():
+            continue
+        if best:
+            j = j[[np.where(good, found, -1.0).argmax()]]
+        else:
+            bands = alike[good].reshape(int(good.sum()), -1, BAND).all(axis=2)
+            bands &= (regs[i] != EMPTY).reshape(-1, BAND).any(axis=1)
+            j = j[good][bands.argmax(axis=1) == band]
+        xs.append(np.full(len(j), i))
+        ys.append(j)
+    return np.concatenate(xs), np.concatenate(ys)
+
+
+def _best_pairs(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
+    for rows in _by_block(batches):
+        x, y = _candidates(rows, rule, best=True)
+        if len(x):
+            ids = rows["id"].to_numpy()
+            yield pd.DataFrame({"x": ids[x], "y": ids[y]})
+
+
+def _concerned(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
+    """Rows without sketch that are in any candidate pair."""
+    for rows in _by_block(batches):
+        x, y = _candidates(rows, rule, best=False)
+        if len(x):
+            yield rows.iloc[np.unique(np.r_[x, y])][[*BLOCKS, "at", "id", "label"]]
+
+
+def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs of sets."""
+    whole = np.concatenate(sets)
+    if len(x) > 2000 and len(whole) < 1_000_000:
+        # Many pairs: products of membership rows, some columns at a time.
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.unique(whole, return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        total = np.zeros((len(sets), len(sets)), np.float32)
+        step = 4096
+        for at in range(0, int(column[-1]) + 1, step):
+            a, b = np.searchsorted(column, [at, at + step])
+            part = np.zeros((len(sets), step), np.float32)
+            part[owner[a:b], column[a:b] - at] = 1
+            total += part @ part.T
+        return total[x, y].astype(np.int64)
+    out = np.empty(len(x), np.int64)
+    for k, (i, j) in enumerate(zip(x, y)):
+        both = np.sort(np.concatenate([sets[i], sets[j]]))
+        out[k] = (both[1:] == both[:-1]).sum()
+    return out
+
+
+def _block_links(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
+    """Links among the candidate pairs of each pair of blocks, by full sets."""
+    for rows in _by_block(batches):
+        x, y = _candidates(rows, rule, best=False)
+        if not len(x):
+            continue
+        common = _common([np.frombuffer(g, np.uint64) for g in rows["grams"]], x, y)
+        n, ids = rows["n"].to_numpy(), rows["id"].to_numpy()
+        linked = 100 * common >= rule.percent * (n[x] + n[y] - common)
+        if linked.any():
+            yield pd.DataFrame({"x": ids[x[linked]], "y": ids[y[linked]]})
+
+
+def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``band, key, id, label, parts``: members of bands that hold several components, and
+    the number of blocks the band is dealt into."""
+    labelled = members.join(roots, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("label"))
+    labelled = written(labelled, "band-labels")
+    several = (
+        labelled.groupBy("band", "key")
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
+        .where("lo != hi")
+        .select("band", "key", F.ceil(F.col("m") / BLOCK).alias("parts"))
+    )
+    return labelled.join(written(several, "several-components"), ["band", "key"])
+
+
+def _dealt(open_: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of open bands in every pair of blocks they are in, with their sketches."""
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    return _sorted(
+        open_.withColumn("at", F.pmod(F.xxhash64("id"), F.col("parts")))
+        .select("band", "key", "id", "label", "at", F.explode(every).alias("to"))
+        .select("band", "key", "id", "label", "at", F.least("at", "to").alias("bi"), F.greatest("at", "to").alias("bj"))
+        .join(classes.select("id", "n", "sketch"), "id")
+    )
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*BLOCKS).sortWithinPartitions(*BLOCKS)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
+
+def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """All links across components that are left. Pairs are found twice, first to learn whose
+    sets are needed where, then with these sets; only links leave a task."""
+    concerned = written(
+        _dealt(open_, classes).mapInPandas(
+            lambda it: _concerned(it, rule),
+            "band int, key long, bi long, bj long, at long, id long, label long",
+        ),
+        "concerned",
+    )
+    full = _sorted(concerned.join(classes.select("id", "n", "sketch"), "id").join(sets, "id"))
+    return _ordered(full.mapInPandas(lambda it: _block_links(it, rule), "x long, y long"))
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -368,7 +481,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     @F.pandas_udf("double")
     def hope(sa: pd.Series, sb: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
         a, b, na, nb = _rows(sa), _rows(sb), na.to_numpy(), nb.to_numpy()
-        return pd.Series(np.where(promising(a, b, na, nb, rule), estimate(a, b, na, nb)[0], -1.0))
+        used = ((a != EMPTY) | (b != EMPTY)).sum(axis=1)
+        found = corrected(((a == b) & (a != EMPTY)).sum(axis=1), used, na, nb)
+        return pd.Series(np.where(near_enough(found, used, na, nb, rule), found, -1.0))
 
     stars = members.where("id != least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
     stars = (
@@ -391,33 +506,23 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     sets = written(sets, "shingle-sets")
     first = written(verified(stars, sets, rule), "first-links")
-    labels = connected(first)
-
-    # Then bands that hold more than one component.
-    labelled = members.join(labels, "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
-    labelled = written(labelled, "band-labels")
-    open_bands = written(
-        labelled.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
-        .where("lo != hi").select("band", "key", F.ceil(F.col("m") / BLOCK).alias("parts")),
-        "open-bands",
-    )
-    dealt = (
-        labelled.select("band", "key", "id", "label")
-        .join(open_bands, ["band", "key"])
-        .withColumn("at", F.pmod(F.xxhash64("id"), F.col("parts")))
-        .select("band", "key", "id", "label", "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("to"))
-        .select("band", "key", "id", "label", "at", F.least("at", "to").alias("bi"), F.greatest("at", "to").alias("bj"))
-        .join(classes.select("id", "n", "sketch"), "id")
-        .repartition("band", "key", "bi", "bj")
-        .sortWithinPartitions("band", "key", "bi", "bj")
-    )
-    rest = written(
-        dealt.mapInPandas(lambda it: _block_pairs(it, rule), "x long, y long")
-        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(),
-        "block-pairs",
-    )
-    second = verified(rest, sets, rule)
-    roots = connected(first.unionByName(second))
+    # Then bands that hold more than one component: the best partners of each member, as
+    # long as that links anything, and at last all that is left.
+    links, roots = first, connected(first)
+    while True:
+        open_ = written(_open_bands(members, roots), "open-bands")
+        if open_.isEmpty():
+            break
+        pairs = _dealt(open_, classes).mapInPandas(lambda it: _best_pairs(it, rule), "x long, y long")
+        some = written(_ordered(pairs), "best-pairs")
+        more = written(verified(some, sets, rule), "best-links")
+        if more.count() * 100 <= some.count():
+            # Few are linked; the rest is settled at once.
+            roots = connected(links.unionByName(more).unionByName(_rest(open_, classes, sets, rule)))
+            break
+        # Links so far, as one link from each node to its root.
+        links = written(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more), "links-so-far")
+        roots = connected(links)
     named = written(
         classes.select("k1", "k2", "id").join(roots, "id", "left")
         .select("k1", "k2", F.coalesce("root", "id").alias("component")),
