@@ -207,7 +207,7 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         ((F.col("n_words") < rules.min_words)
          | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))).alias("base_failed"),
     )
-    stray = 1 / F.sqrt(F.col("n_words"))
+    stray = 1 / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     near = F.lit(True)
     for name in ("class_distance", "word_distance"):
         fixed, falling = getattr(rules, name)
