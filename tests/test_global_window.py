@@ -2,12 +2,10 @@ from __future__ import annotations
 
 import random
 
-import oracle
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tidemark.operators import global_window as gw
 
 
@@ -114,17 +112,6 @@ def test_every_kind_of_key(spark, kind):
     _check(df, [("k", "desc")], 9)
 
 
-@pytest.mark.parametrize(
-    "key", ["prev_quantity", "price_rank", "customer_sales_rank", "next_price", "prev_order_date",
-            "customer_row_number"])
-def test_queries_over_ranges(spark, sf_dir, monkeypatch, key):
-    """The registered queries again, with inputs made to count as large."""
-    monkeypatch.setattr(gw, "SINGLE_TASK_ROWS", 10)
-    df = entry.queries()[key](spark, sf_dir)
-    problem, _ = oracle.compare(oracle.connect(sf_dir), df, entry.oracle_sql()[key])
-    assert problem is None, problem
-
-
 def test_masses_of_exact_copies(spark):
     """Copies with nothing to tell them apart are numbered over several ranges."""
     df = spark.range(3000).select(

@@ -78,3 +78,15 @@ def test_model_steps(spark):
     assert abs(out.agg(F.avg("x_scaled")).first()[0]) < 1e-9
     fit = {r["term"]: r["coefficient"] for r in ml.fit_linear(df, "y", ["x"]).collect()}
     assert fit["x"] == pytest.approx(3) and fit["intercept"] == pytest.approx(2)
+
+
+def test_null_numbers_keep_their_rows(spark):
+    df = spark.sql("select * from values ('a', 1.0D), ('b', null), ('a', 3.0D) v(c, x)")
+    out = ml.encode_scale(df, ["c"], ["x"]).collect()
+    assert len(out) == 3
+    assert [r["x_scaled"] for r in out if r["x"] is None] == [None]
+
+
+def test_mask_any_pattern(spark):
+    df = spark.sql("select 'call 555-0100' as t")
+    assert q.mask_text(df, "t", r"\d{3}-\d{4}").first()["t"] == "call ***"

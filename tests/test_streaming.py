@@ -113,3 +113,18 @@ def test_events_and_alerts(spark, tmp_path):
         jobs.append_events(events, sink, progress, F.col("v") > 50, alerts)
     assert spark.read.parquet(sink).count() == 2
     assert [r["id"] for r in spark.read.parquet(alerts).collect()] == [2]
+
+
+def test_backfill_of_unordered_files_loses_no_hour(spark, sf_dir, tmp_path):
+    """Closed hours do not depend on how the events are spread over files."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    counts = []
+    for files in (1, 6):
+        src = str(tmp_path / f"in{files}")
+        events.repartition(files, "event_id" if "event_id" in events.columns else "ts").write.parquet(src)
+        stream = jobs.stream_files(spark, src, events.schema, fmt="parquet")
+        stream = stream.withColumn("ts", stream["ts"].cast("timestamp"))
+        out = str(tmp_path / f"out{files}")
+        jobs.hourly_to_parquet(stream, out, str(tmp_path / f"progress{files}"), "ts", "value", ("event_type",))
+        counts.append(spark.read.parquet(out).selectExpr("sum(events)", "count(*)").first())
+    assert counts[0] == counts[1] and counts[0][0] > 0

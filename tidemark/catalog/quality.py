@@ -134,7 +134,7 @@ def _(w):
     rf"""SELECT doc_id, regexp_replace(text, '{q.EMAIL}', '***', 'g') AS text FROM documents""",
 )
 def _(w):
-    return q.mask_text(w.documents.select("doc_id", "text"), "text")
+    return q.mask_text(w.documents.select("doc_id", "text"), "text", contains="@")
 
 
 @query(

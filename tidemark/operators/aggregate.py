@@ -10,10 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import ratio
-from tidemark.session import materialize
-
-# Groups (key and a few numbers each) that fit every executor's memory with ease.
-BROADCAST_GROUPS = 200_000
+from tidemark.session import materialize, stored
 
 
 def with_group_stats(
@@ -23,17 +20,15 @@ def with_group_stats(
 
     Grouped and joined back instead of windowed: a window sends a whole group to
     one task, while here each group is reduced map-side. The reduced groups are
-    written out once and counted. Up to ``BROADCAST_GROUPS`` they are broadcast, so
-    the rows are not shuffled at all; beyond, an equi-join carries them, which
-    adaptive execution splits where a key is heavy. Null keys form a group.
+    written as a table, whose bytes the planner knows: within its broadcast threshold the
+    rows are not shuffled at all, beyond it an equi-join carries them, which adaptive
+    execution splits where a key is heavy. Null keys form a group.
     """
-    grouped = materialize(
+    grouped = stored(
         df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(
             *[c.alias(n) for n, c in stats.items()]
         )
     )
-    if grouped.count() <= BROADCAST_GROUPS:
-        grouped = F.broadcast(grouped)
     tests = [df[k].eqNullSafe(grouped[f"_g{i}"]) for i, k in enumerate(keys)]
     joined = df.join(grouped, reduce(lambda a, b: a & b, tests), "inner")
     return joined.drop(*[f"_g{i}" for i in range(len(keys))])

@@ -35,9 +35,6 @@ from tidemark.session import materialize
 
 Order = Sequence[str | tuple[str, str]]
 
-# Up to this many rows (counted, not guessed) one task sorts everything faster
-# than several jobs could arrange to share the work.
-SINGLE_TASK_ROWS = 50_000
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 20_000
 SAMPLES_PER_RANGE = 20
@@ -90,8 +87,6 @@ def _plan_ranges(
     frame = df.select(*[k.name for k in keys])
     rows = frame.count()
     if ranges is None:
-        if rows <= SINGLE_TASK_ROWS:
-            return None
         # Several ranges per task even out what hashing the range numbers does not.
         parallel = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = min(MAX_RANGES, max(parallel, rows // ROWS_PER_RANGE))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -19,7 +19,8 @@ def encode_scale(
 
     Adds ``<c>_index`` and ``<c>_onehot`` per category and ``<n>_scaled`` per number.
     Categories are numbered by falling frequency, ties by name; their list is held on
-    the driver, so only columns with few distinct values belong here.
+    the driver, so only columns with few distinct values belong here. A null number keeps
+    its row and is scaled to null; a column without spread is scaled to 0.
     """
     stages = [
         StringIndexer(
@@ -32,11 +33,19 @@ def encode_scale(
             outputCols=[f"{c}_hot" for c in categories],
             dropLast=False,
         ),
-        VectorAssembler(inputCols=list(numbers), outputCol="_numbers", handleInvalid="skip"),
-        StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
     ]
     fitted = Pipeline(stages=stages).fit(df).transform(df)
-    scaled = vector_to_array("_scaled")
+    # One row; aggregates pass over nulls.
+    moments = df.agg(
+        *[F.avg(n).alias(f"m{i}") for i, n in enumerate(numbers)],
+        *[F.stddev_samp(n).alias(f"s{i}") for i, n in enumerate(numbers)],
+    ).first()
+    scaled = [
+        (F.col(n) - F.lit(moments[f"m{i}"])) / F.lit(moments[f"s{i}"])
+        if moments[f"s{i}"]
+        else F.when(F.col(n).isNotNull(), F.lit(0.0))
+        for i, n in enumerate(numbers)
+    ]
     return fitted.select(
         *df.columns,
         *[f"{c}_index" for c in categories],
@@ -46,7 +55,8 @@ def encode_scale(
 
 
 def fit_linear(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Least-squares fit: one row per term with its coefficient."""
+    """Least-squares fit: one row per term with its coefficient. Rows in which the label or
+    a feature is null take no part."""
     vectors = VectorAssembler(
         inputCols=list(features), outputCol="_features", handleInvalid="skip"
     ).transform(df.select(F.col(label).cast("double").alias("_label"), *features))

@@ -133,11 +133,11 @@ def mask_text(
     column: str,
     pattern: str = EMAIL,
     mask: str = "***",
-    contains: str | None = "@",
+    contains: str | None = None,
 ) -> DataFrame:
     """Replace every match of ``pattern``.
 
-    Texts without ``contains``, which every match must hold, skip the pattern.
+    Texts without ``contains``, where every match is known to hold it, skip the pattern.
     """
     c = F.col(column)
     masked = F.regexp_replace(c, pattern, mask)

@@ -19,14 +19,24 @@ RECOMMENDED_CONF = {
 }
 
 
+def recommend(spark: SparkSession) -> SparkSession:
+    """Apply ``RECOMMENDED_CONF`` to a session."""
+    for key, value in RECOMMENDED_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (local tests) a folder of this machine is made.
+    Where that is unset a local master gets a folder of this machine; on a cluster, whose
+    executors would not see such a folder, it is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured is None:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(configured)
     elif sc.getCheckpointDir() is None:
@@ -47,3 +57,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """``df`` written to the shared folder and read back, so that its size is known."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

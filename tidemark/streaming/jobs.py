@@ -25,18 +25,19 @@ def stream_files(
     schema: T.StructType | str,
     glob: str = "*",
     fmt: str = "csv",
-    max_files: int = 1000,
+    max_files: int | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """New files of a directory as a stream."""
-    return (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", max_files)
-        .options(**dict(options or {}))
-        .load(path)
-    )
+    """New files of a directory as a stream.
+
+    Without ``max_files`` an ``availableNow`` run takes all of them as one batch. Under a
+    watermark that matters: files come in no order of event time, so a second batch would
+    find its rows late and drop them. Cap the files only of streams without event time.
+    """
+    reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.options(**dict(options or {})).load(path)
 
 
 def ingest_files(
