@@ -2,10 +2,11 @@
 
 Every node is linked to the least node it knows: first all larger neighbours of a node to its
 least neighbour, then all smaller ones. Paths shorten by about half each round, so the number
-of rounds follows the logarithm of the longest path. Each round is written to the shared
-folder, which cuts the lineage; nothing but two sums a round reaches the driver. The least
-neighbours are written before they are joined back, so that both sides of the join are plain
-exchanges and adaptive execution can split a node with very many links.
+of rounds follows the logarithm of the longest path, and links that are stars already need
+none. Each round is written to the shared folder, which cuts the lineage; nothing but one
+count a round reaches the driver. The least neighbours are written before they are joined
+back, so that both sides of the join are plain exchanges and adaptive execution can split a
+node with very many links.
 """
 
 from __future__ import annotations
@@ -35,12 +36,14 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
-def _mark(links: DataFrame) -> tuple:
-    return tuple(
-        links.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
+def _settled(links: DataFrame) -> bool:
+    """Whether ``links`` are stars: every node has one link upwards at most, to a node with
+    none. Nodes are summed map-side, so a busy one crosses the shuffle once per task."""
+    ends = links.select(F.col("a").alias("u"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down"))
     )
+    nodes = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up = 1 and down = 1)").count() == 0
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -50,10 +53,6 @@ def connected(links: DataFrame) -> DataFrame:
         links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "links",
     )
-    mark = _mark(links)
-    while mark[0]:
+    while not _settled(links):
         links = written(_star(written(_star(links, True), "star-large"), False), "star-small")
-        before, mark = mark, _mark(links)
-        if mark == before:
-            break
     return links.select(F.col("a").alias("id"), F.col("b").alias("root"))
