@@ -81,6 +81,14 @@ def test_jdbc_import(spark, derby, tmp_path):
     assert some.count() == sum(1 for i in range(100) if i % 40 > 20)
 
 
+def test_whole_tables_are_split_unless_asked_otherwise(spark, derby, tmp_path):
+    url, opts = derby
+    path = str(tmp_path / "whole")
+    with pytest.raises(ValueError, match="one_task"):
+        jdbc.import_jdbc(spark, url, path, table="PRODUCTS", **opts)
+    assert jdbc.import_jdbc(spark, url, path, one_task=True, table="PRODUCTS", **opts).count() == 100
+
+
 def test_jdbc_query_and_predicates(spark, derby):
     url, opts = derby
     got = jdbc.read_jdbc(spark, url, query="select ID, NAME from PRODUCTS where ID < 3", **opts)

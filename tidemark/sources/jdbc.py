@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.files import write_parquet
 
+# Rows a driver fetches at a time.
+FETCH_ROWS = "10000"
+
 # Catalog queries per kind of database (fixed values).
 TABLE_LISTS = {
     "jdbc:postgresql:": "select table_schema as db, table_name as name "
@@ -40,10 +43,12 @@ def read_jdbc(
 
     ``partition`` is (column, lower, upper, parts), or a column name alone, whose
     bounds are then asked from the database with one row. ``predicates`` gives one
-    task per condition instead. ``where`` is evaluated by the database.
+    task per condition instead. ``where`` is evaluated by the database. ``fetchsize`` is
+    ``FETCH_ROWS`` unless given: some drivers hold all rows of a task in memory without one.
     """
     if (table is None) == (query is None):
         raise ValueError("give a table or a query")
+    options = {"fetchsize": FETCH_ROWS} | options
     source = table if query is None else f"({query}) q"
     if where is not None:
         source = f"(select * from {source} where {where}) w"
@@ -70,8 +75,16 @@ def _reader(spark: SparkSession, url: str, options: dict):
     return spark.read.format("jdbc").option("url", url).options(**options)
 
 
-def import_jdbc(spark: SparkSession, url: str, target: str, **read_options) -> DataFrame:
-    """Copy a table or query into a parquet directory, replacing it; returns the copy."""
+def import_jdbc(
+    spark: SparkSession, url: str, target: str, one_task: bool = False, **read_options
+) -> DataFrame:
+    """Copy a table or query into a parquet directory, replacing it; returns the copy.
+
+    A whole table is copied in one task only where ``one_task`` asks for it.
+    """
+    narrowed = [read_options.get(k) for k in ("query", "where", "partition", "predicates")]
+    if not one_task and all(x is None for x in narrowed):
+        raise ValueError("give a partition column or predicates, or one_task=True")
     write_parquet(read_jdbc(spark, url, **read_options), target)
     return spark.read.parquet(target)
 

@@ -142,11 +142,12 @@ def append_events(
     """Load events as they are; those matching ``alert`` also go to ``alert_sink``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        targets = [(batch, sink)]
+        part = f"batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(f"{sink}/{part}")
         if alert is not None and alert_sink is not None:
-            targets.append((batch.where(alert), alert_sink))
-        for rows, path in targets:
-            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            # From what was just written, so that the source is read once.
+            landed = batch.sparkSession.read.schema(batch.schema).parquet(f"{sink}/{part}")
+            landed.where(alert).write.mode("overwrite").parquet(f"{alert_sink}/{part}")
 
     (
         events.writeStream.foreachBatch(write)
