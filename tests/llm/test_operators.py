@@ -167,6 +167,23 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("dim", "n"), [(64, 50_000), (64, 1_000_000), (4, 50_000), (300, 50_000)])
+def test_isolated_pairs_at_the_threshold_share_a_filter(spark, dim, n):
+    rng = np.random.default_rng(8)
+    one, two = rng.standard_normal((2, 1000, dim))
+    one /= np.linalg.norm(one, axis=1)[:, None]
+    two -= (two * one).sum(axis=1)[:, None] * one
+    two /= np.linalg.norm(two, axis=1)[:, None]
+    two = 0.9 * one + np.sqrt(0.19) * two
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([one, two]))]
+    df = spark.createDataFrame(rows, "id long, vec array<double>").coalesce(2)
+    found = {r["id"]: set(r["filters"]) for r in embeddings.filters(df, n).collect()}
+    assert all(found[i] & found[1000 + i] for i in range(1000))
+    # Of unrelated vectors hardly any.
+    if dim >= 64:
+        assert sum(bool(found[i] & found[i + 1]) for i in range(999)) < 10
+
+
 def test_quality(spark, docs, texts):
     got = _by_id(quality.judge(docs))
     for i, t in enumerate(texts):

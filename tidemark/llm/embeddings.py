@@ -1,13 +1,14 @@
 """Near-duplicate vectors by spherical-cap filters.
 
-Filters are caps around directions of a random product code: a random rotation, then the
-vector cut into two blocks, each with a code of random unit directions; a pair of block
-directions is one filter direction. The sums of two short lists of block products are thus
-the products with all of a million or more directions, and a vector's filters are list-decoded by
-taking only block directions that can still reach the threshold with the best of the other
-block. Two vectors with a cosine of ``MIN_COSINE`` share several filters but for a chance
-below e**-25; unrelated ones share next to none, as the code grows with the number of
-vectors. Two rotations are used.
+Filters are directions of a random product code: a random rotation, then the vector cut
+into two blocks, each with a code of random unit directions; a pair of block directions is
+one filter direction. A vector takes the ``PER_VECTOR`` directions nearest to it, which come
+from the best few of each block. Each rotation with its codes shows a pair anew, so that misses
+multiply: the chance that two vectors with a cosine of ``MIN_COSINE`` share a filter of one
+rotation is measured on random pairs (it falls with the size of the code, and with the
+dimensions), and as many rotations are taken as bring the misses below ``MISSED``. The code
+grows with the number of vectors, so that unrelated ones share next to none, but no further
+than a chance of one half, which few dimensions reach early.
 
 Vectors are reduced to distinct ones first. A vector's first filter is its cell; filters are
 joined as (filter, cell) pairs, so a cluster meets itself as a few cells rather than in each of its
@@ -24,7 +25,7 @@ null id takes part, but cannot name a component. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from statistics import NormalDist
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,47 +35,75 @@ from tidemark.llm.common import table, written
 from tidemark.llm.components import connected
 
 MIN_COSINE = 0.9
-ROTATIONS = 2
-PER_VECTOR = 40  # filters of a vector in each rotation, on average
-DIRECTIONS = 64  # filter directions for each vector of the table
+MISSED = 1e-6  # of the pairs with just that cosine
+PER_VECTOR = 16  # filters of a vector in each rotation
+DIRECTIONS = 256  # filter directions for each vector of the table
+TRIED = 512  # pairs by which the chance of a shared filter is measured
 BLOCK = 256
 SEED = 20
 # Stand-ins for null ids lie above all ids.
 UNNAMED = 1 << 62
 
 
+def _best(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the ``k`` greatest of each row, greatest first."""
+    k = min(k, x.shape[1])
+    at = np.argpartition(x, x.shape[1] - k, axis=1)[:, x.shape[1] - k :]
+    value = np.take_along_axis(x, at, 1)
+    order = np.argsort(-value, axis=1, kind="stable")
+    return np.take_along_axis(at, order, 1), np.take_along_axis(value, order, 1)
+
+
 class ProductCode:
-    """One rotation, two block codes and the threshold for ``n`` vectors of ``dim``."""
+    """One rotation and two block codes of ``each`` directions for vectors of ``dim``."""
 
-    def __init__(self, dim: int, n: int, seed: int):
+    def __init__(self, dim: int, each: int, seed: int):
         rng = np.random.default_rng([SEED, dim, seed])
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.cuts = np.array_split(np.arange(dim), min(2, dim))
-        each = int(np.ceil(np.sqrt(max(1024, DIRECTIONS * n))))
         self.codes = []
         for cut in self.cuts:
             code = rng.standard_normal((each, len(cut)))
             code /= np.linalg.norm(code, axis=1, keepdims=True) * np.sqrt(len(self.cuts))
             self.codes.append(code)
-        share = min(0.5, PER_VECTOR / each ** len(self.cuts))
-        # A product with a random direction is about normal with deviation dim ** -0.5. In
-        # few dimensions that tail ends early; the cap must stay wide enough for a pair.
-        self.threshold = min(0.7, NormalDist().inv_cdf(1 - share) / np.sqrt(dim))
         self.each = each
 
-    def decode(self, unit: np.ndarray) -> Iterator[np.ndarray]:
-        """For each row: its filters, the best first."""
+    def decode(self, unit: np.ndarray) -> np.ndarray:
+        """For each row its filters, the best first."""
+        step = max(1, (1 << 21) // self.each)
+        return np.concatenate([self._decode(unit[i : i + step]) for i in range(0, len(unit), step)])
+
+    def _decode(self, unit: np.ndarray) -> np.ndarray:
         turned = unit @ self.rotation
         parts = [turned[:, cut] @ code.T for cut, code in zip(self.cuts, self.codes)]
-        first = parts[0]
-        second = parts[1] if len(parts) > 1 else np.zeros((len(unit), 1))
-        for x, y in zip(first, second):
-            best = int(x.argmax()) * self.each + int(y.argmax())
-            i = np.flatnonzero(x >= self.threshold - y.max())
-            j = np.flatnonzero(y >= self.threshold - x.max())
-            hit = np.nonzero(x[i][:, None] + y[j][None, :] >= self.threshold)
-            got = i[hit[0]] * self.each + j[hit[1]]
-            yield np.concatenate([[best], got[got != best]])
+        i, x = _best(parts[0], PER_VECTOR)
+        j, y = _best(parts[1] if len(parts) > 1 else np.zeros((len(unit), 1)), PER_VECTOR)
+        # A sum with p greater ones before it in x and q in y has at least (p + 1)(q + 1) - 1 before it.
+        p, q = np.nonzero(np.outer(np.arange(1, i.shape[1] + 1), np.arange(1, j.shape[1] + 1)) <= PER_VECTOR)
+        at = _best(x[:, p] + y[:, q], PER_VECTOR)[0]
+        return np.take_along_axis(i[:, p] * self.each + j[:, q], at, 1)
+
+
+def _chance(code: ProductCode, dim: int) -> float:
+    """A low estimate of the chance that a pair with MIN_COSINE shares a filter of ``code``."""
+    rng = np.random.default_rng([SEED, dim])
+    one, two = _unit(rng.standard_normal((TRIED, dim))), rng.standard_normal((TRIED, dim))
+    two = _unit(two - (two * one).sum(axis=1, keepdims=True) * one)
+    two = MIN_COSINE * one + np.sqrt(1 - MIN_COSINE**2) * two
+    met = [np.isin(a, b).any() for a, b in zip(code.decode(one), code.decode(two))]
+    share = min(np.mean(met), 1 - 1 / TRIED)
+    return share - 2.5 * np.sqrt(share * (1 - share) / TRIED)
+
+
+@lru_cache(maxsize=4)
+def product_codes(dim: int, n: int) -> list[ProductCode]:
+    """The codes for ``n`` vectors of ``dim``; the same in every process."""
+    each = int(np.ceil(np.sqrt(max(1024, DIRECTIONS * n))))
+    if dim == 1:  # two directions, and no pair between
+        return [ProductCode(dim, each, 0)]
+    while (chance := _chance(ProductCode(dim, each, 0), dim)) < 0.5 and each > 4:
+        each = max(4, each // 2)
+    return [ProductCode(dim, each, r) for r in range(int(np.ceil(np.log(MISSED) / np.log(1 - chance))))]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -88,24 +117,17 @@ def filters(distinct: DataFrame, n: int) -> DataFrame:
     """``id, dim, cell, filters`` for ``id, vec``."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes: dict[int, list[ProductCode]] = {}
         for batch in batches:
             dims = batch["vec"].map(len)
             for dim, rows in batch.groupby(dims):
-                if dim not in codes:
-                    codes[dim] = [ProductCode(dim, n, r) for r in range(ROTATIONS)]
                 unit = _unit(np.stack(rows["vec"].to_numpy()))
-                found = [list(code.decode(unit)) for code in codes[dim]]
-                base = [code.each ** 2 * r for r, code in enumerate(codes[dim])]
+                found = [code.decode(unit) + code.each**2 * r for r, code in enumerate(product_codes(dim, n))]
                 yield pd.DataFrame(
                     {
                         "id": rows["id"].to_numpy(),
                         "dim": np.int32(dim),
-                        "cell": [int(f[0]) for f in found[0]],
-                        "filters": [
-                            np.concatenate([f[k] + b for f, b in zip(found, base)])
-                            for k in range(len(unit))
-                        ],
+                        "cell": found[0][:, 0],
+                        "filters": list(np.concatenate(found, axis=1)),
                     }
                 )
 
@@ -124,10 +146,28 @@ def _forest(close: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _compare_single(pairs: pd.DataFrame, kind: str) -> Iterator[pd.DataFrame]:
+    """As ``_compare``, for pairs of blocks of one vector each, all at once."""
+    lengths = pairs["vecs"].map(lambda v: len(v[0]))
+    for _, rows in pairs.groupby(lengths):
+        sides = []
+        for k in ("", "2"):
+            raw = b"".join(v[0] for v in rows["vecs" + k])
+            ids, copies = (np.array([v[0] for v in rows[c + k]], np.int64) for c in ("ids", "copies"))
+            sides.append((_unit(np.frombuffer(raw, kind).reshape(len(rows), -1)), ids, copies))
+        (u, a, n), (v, b, m) = sides
+        close = np.einsum("ij,ij->i", u, v) >= MIN_COSINE
+        a, b, n, m = a[close], b[close], n[close], m[close]
+        root = np.minimum(a, b)
+        yield pd.DataFrame({"id": np.r_[a, b], "root": np.r_[root, root], "n": np.r_[m, n]})
+
+
 def _compare(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[pd.DataFrame]:
     """Counts of links and a forest for each pair of blocks."""
     for batch in batches:
-        out = []
+        single = ~batch["same"] & (batch["ids"].map(len) == 1) & (batch["ids2"].map(len) == 1)
+        out = list(_compare_single(batch[single], kind))
+        batch = batch[~single]
         for row in batch.itertuples(index=False):
             ids, copies, vecs = list(row.ids), list(row.copies), list(row.vecs)
             left = len(ids)
