@@ -65,6 +65,21 @@ def test_minhash_keeps_long_texts_whole(monkeypatch):
     assert (whole[0] == 0).sum() == len(brute.shingle_set(text, 4))
 
 
+@pytest.mark.parametrize("count", [3, 9, 200])
+def test_minhash_ends_on_words_longer_than_a_piece(monkeypatch, count):
+    rng = random.Random(2)
+    lengths = [rng.choice([3, 900, 1100, 4000]) for _ in range(count - 1)] + [5000]
+    text = "  ".join(rng.choice("abc") * n + str(i) for i, n in enumerate(lengths)) + " " * 2500
+    texts = [text, "a b", "x" * 6000 + " " + _prose(rng, 1000), None, "z" * 9000]
+    whole = minhash.shingles(texts, 5)
+    monkeypatch.setattr(minhash, "PIECE", 1000)
+    pieces = minhash._pieces(texts, 5)
+    assert sum(1 for _, _ in zip(pieces, range(5000))) < 5000
+    parts = minhash.shingles(texts, 5)
+    assert all(len(a) == len(b) and (a == b).all() for a, b in zip(whole, parts))
+    assert [(whole[0] == k).sum() for k in range(5)] == [len(brute.shingle_set(t, 5)) for t in texts]
+
+
 def test_minhash_estimate_follows_similarity():
     rng = np.random.default_rng(3)
     for share in (0.2, 0.5, 0.8):

@@ -80,12 +80,13 @@ def _pieces(texts: list[str | None], words: int) -> Iterator[tuple[np.ndarray, n
 
     for i, text in enumerate(texts):
         raw = (text or "").encode()
-        at = 0
+        at = stop = 0
         while True:
-            stop = len(raw)
-            if stop - at > 2 * PIECE:
-                # A blank after which a unit may end.
-                blank = _BLANK.search(raw, at + PIECE)
+            done, stop = stop, len(raw)
+            if stop - done > 2 * PIECE:
+                # A blank after which a unit may end, at least PIECE beyond the last one's end,
+                # however long the words are that it repeats.
+                blank = _BLANK.search(raw, done + PIECE)
                 stop = blank.start() if blank and len(raw) - blank.start() > PIECE else stop
             held.append(raw[at:stop] + b" ")
             owner.append(i)
@@ -144,10 +145,13 @@ def shingles(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarra
                 step = one[np.minimum(at, len(one) - 1)]
                 code = np.where(inside, code * U(0xC2B2AE3D27D4EB4F) + step, code)
             short.append((own[first[few]], mixed(code + count[few].astype(np.uint64))))
-    for own, code in short:
+    if short:
+        # Of a text in several units the last one holds all its words, if they are so few.
+        own, code = (np.concatenate(c)[::-1] for c in zip(*short))
+        own, last = np.unique(own, return_index=True)
         fresh = ~whole[own]
         owners.append(own[fresh])
-        hashes.append(code[fresh])
+        hashes.append(code[last][fresh])
     if not owners:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     own, code = np.concatenate(owners), np.concatenate(hashes)
