@@ -210,6 +210,27 @@ def test_quality(spark, docs, texts):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_quality_of_rare_and_unlabelled_languages(spark):
+    rng = random.Random(6)
+    common = {k: v.split() for k, v in quality.COMMON_WORDS.items()} | {"fi": ["ja", "on", "ei", "se"]}
+
+    def prose(lang):
+        rest = "".join(rng.choice("aeioklmnrst") for _ in range(6))
+        return " ".join(rng.choice([rng.choice(common[lang]), rest + str(rng.choice("abcdef")), rng.choice("uvw") * 5]) for _ in range(200))
+
+    rows = [(prose(g), g) for g in ("de", "en", "es", "fr") for _ in range(40)]
+    rows += [(prose(g), None) for g in ("de", "en", "es", "fr") for _ in range(10)] + [(prose("fi"), "fi") for _ in range(5)]
+    clean = len(rows)
+    rows += [(" ".join(rng.choice("#*$%&|<>") * 3 + str(rng.random()) for _ in range(40)), lang) for lang in (None, "es")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    # So many short rows that the other languages come to less than one in a thousand each.
+    filler = spark.range(1000, 60_000).selectExpr("id as doc_id", "'uuuuu vvvvv' as text", "'xx' as lang")
+    few, many = (_by_id(quality.judge(d).where("doc_id < 1000")) for d in (docs, docs.unionByName(filler)))
+    for i, (_, lang) in enumerate(rows):
+        assert few[i]["kept"] == many[i]["kept"] == (i < clean), (i, lang)
+        assert (many[i]["word_distance"] is None) == (lang == "fi")
+
+
 def test_distance(spark):
     rows = [([1, 0], [0, 1], 1.0), ([2, 2], [5, 5], 0.0), ([0, 0], [1, 1], None)]
     df = spark.createDataFrame(rows, "p array<long>, q array<long>, want double")

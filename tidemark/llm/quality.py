@@ -2,14 +2,16 @@
 
 For every text two histograms are taken: of character classes, and of the common words of
 the languages known here (with all other words as one class). The reference of a language
-is the sum of the histograms of all its documents; a language that holds less than one row
-in a thousand has no reference of its own, which bounds their number by a thousand, and its
-documents are held against the reference of the whole table, as are those without a
-language. The distance is Jensen-Shannon's (square root of the divergence, base 2: 0 to 1).
+is the sum of the histograms of all its documents, whatever their share of the table, from
+``MIN_DOCS`` documents with ``MIN_WORDS`` words in all on. Documents of a language with less are
+not judged by distance, as no other language tells what is usual in theirs; those without
+a language are held against the nearest reference of all. The distance is Jensen-Shannon's
+(square root of the divergence, base 2: 0 to 1).
 A text shorter than the minimum lengths is not judged, since its histograms say little.
 
 All of it is built-in functions. The counts are taken once and written to the shared folder;
-references and distances both read that narrow table.
+references and distances both read that narrow table. The references are broadcast, under
+two kilobytes a language.
 
 Defined cases: a null or blank text has no words and fails the least word count; rows that
 repeat an id are judged each; an empty table gives an empty result; other columns of the
@@ -41,7 +43,8 @@ CLASSES = {
     "symbol": "#*$%&|<>",
 }
 SYMBOLS = CLASSES["symbol"]
-MIN_SHARE = 0.001
+MIN_DOCS = 20
+MIN_WORDS = 5000
 
 
 @dataclass(frozen=True)
@@ -160,17 +163,23 @@ def counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def references(stats: DataFrame) -> DataFrame:
-    """``_ref, _ref_classes, _ref_hist``: summed histograms of each language with a share
-    of at least MIN_SHARE of the rows, and of all documents under a null ``_ref``."""
+    """``_lang, _refs``: an array with the summed histograms of the language, for each that
+    has enough of them, and with those of all these languages for a null ``_lang``."""
     sizes = {"_classes": len(CLASSES) + 1, "_hist": len(vocabulary()) + 1}
     sums = [
-        F.array(*(F.sum(F.get(c, F.lit(i))) for i in range(n))).alias(f"_ref{c}") for c, n in sizes.items()
+        F.array(*(F.sum(F.get(c, F.lit(i))) for i in range(n))).alias(c) for c, n in sizes.items()
     ]
-    per = stats.groupBy(F.col("lang").alias("_ref")).agg(F.count("*").alias("_n"), *sums)
-    whole = stats.agg(F.count("*").alias("_n"), *sums)
-    total = stats.count()
-    own = per.where(F.col("_ref").isNotNull() & (F.col("_n") >= MIN_SHARE * total))
-    return own.unionByName(whole.select(F.lit(None).cast("string").alias("_ref"), *whole.columns)).drop("_n")
+    own = (
+        stats.where(F.col("lang").isNotNull())
+        .groupBy(F.col("lang").alias("_lang"))
+        .agg(F.count("*").alias("_n"), F.sum("n_words").alias("_w"), *sums)
+        .where((F.col("_n") >= MIN_DOCS) & (F.col("_w") >= MIN_WORDS))
+        .select("_lang", F.struct(*sizes).alias("_one"))
+    )
+    whole = own.agg(F.collect_list("_one").alias("_refs"))
+    return own.select("_lang", F.array("_one").alias("_refs")).unionByName(
+        whole.select(F.lit(None).cast("string").alias("_lang"), "_refs")
+    )
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -195,15 +204,13 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Counts, ``base_failed``, both distances (null where not judged) and ``kept``."""
     stats = written(counts(docs, rules), "quality-counts")
     refs = written(references(stats).coalesce(1), "quality-references")
-    names = [r["_ref"] for r in refs.select("_ref").collect() if r["_ref"] is not None]
-    # Null stands for the whole table.
-    own = F.when(F.col("lang").isin(names), F.col("lang"))
-    rows = stats.withColumn("_own", own).join(F.broadcast(refs), F.col("_own").eqNullSafe(F.col("_ref")), "left")
+    rows = stats.join(F.broadcast(refs), F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    least = lambda c: F.array_min(F.transform("_refs", lambda ref: distance(F.col(c), ref[c])))
     long_enough = (F.col("n_words") >= rules.judged_words) & (F.col("_chars") >= rules.judged_chars)
     rows = rows.select(
         *(c for c in stats.columns if c not in ("_classes", "_hist")),
-        F.when(long_enough, distance(F.col("_classes"), F.col("_ref_classes"))).alias("class_distance"),
-        F.when(long_enough, distance(F.col("_hist"), F.col("_ref_hist"))).alias("word_distance"),
+        F.when(long_enough, least("_classes")).alias("class_distance"),
+        F.when(long_enough, least("_hist")).alias("word_distance"),
         ((F.col("n_words") < rules.min_words)
          | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))).alias("base_failed"),
     )
