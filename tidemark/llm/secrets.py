@@ -4,12 +4,12 @@ Spans are counted in code points, end exclusive. A regular expression yields its
 by splitting, what lies between them; the lengths of both give the positions, so the whole
 scan is built-in functions.
 
-The entropy scan takes candidate strings (runs of ``CANDIDATE``), sorts each into a character
-class (``hex`` or ``base64``), and slides a window over it. Counts per character are kept
+The entropy scan looks at what a fixed pattern has not covered and is no word of the
+allow-list (``HARMLESS``). It takes candidate strings there (runs of ``CANDIDATE``, cut where such a
+span or word stands), sorts each into a character class (``hex`` or ``base64``), and slides a window over it. Counts per character are kept
 from window to window: one character enters, one leaves, and ``sum(c * log2 c)`` changes by
 two terms, from which Shannon entropy follows. A candidate counts from the first to the last
-window at or above the threshold of its class, unless the allow-list knows it or a
-fixed pattern has covered it.
+window at or above the threshold of its class, unless its whole form is ``ALLOWED``.
 
 Defined cases: null text is empty; an empty text has no spans; repeated rows are scanned
 each; texts are scanned whole, however long. Only the named columns of the input are read.
@@ -49,10 +49,12 @@ RULES = {"hex": EntropyRule(24, 3.0), "base64": EntropyRule(20, 3.8)}
 ALLOWED = "|".join((
     r"^[A-Za-z/_=-]+[0-9]{0,4}$",  # words, paths and identifiers of words
     r"^[0-9_=+/-]+$",  # numbers, rulers, dates
-    r"(?i:example|placeholder|changeme|x{6,})",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs
 ))
 
+# Words that stand for a secret; what is joined to them may still be one.
+HARMLESS = r"(?i)example|placeholder|changeme|x{6,}"
+
 _SPANS = "array<struct<start:bigint,rank:int,stop:bigint,kind:string>>"
 
 
@@ -184,18 +186,41 @@ def _hot(spots: Column, name: str, rule: EntropyRule) -> Column:
     )
 
 
-def entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of high entropy outside ``base``."""
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks for all characters in ``spans``, which are sorted by start."""
+    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
-    def build(spots):
-        open_ = F.filter(
-            spots,
-            lambda s: ~s["m"].rlike(ALLOWED)
-            & ~F.exists(
-                base,
-                lambda b: (b["start"] < s["start"] + F.length(s["m"])) & (s["start"] < b["stop"]),
-            ),
+    def step(acc, s):
+        start = F.greatest(acc["at"], s["start"])
+        stop = F.greatest(acc["at"], s["stop"])
+        gap = text.substr(acc["at"] + 1, start - acc["at"])
+        return F.struct(
+            stop.alias("at"),
+            F.concat(acc["out"], gap, F.repeat(F.lit(" "), (stop - start).cast("int"))).alias("out"),
         )
+
+    done = F.aggregate(
+        spans, state, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text).cast("long")))
+    )
+    return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def harmless_spans(text: Column) -> Column:
+    return _located(
+        text,
+        HARMLESS,
+        lambda spots: F.transform(
+            spots,
+            lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["m"])).alias("stop")),
+        ),
+    )
+
+
+def entropy_spans(text: Column) -> Column:
+    """Spans of high entropy."""
+
+    def build(spots):
+        open_ = F.filter(spots, lambda s: ~s["m"].rlike(ALLOWED))
         return F.concat(*(_hot(open_, name, rule) for name, rule in RULES.items()))
 
     return _located(text, CANDIDATE, build)
@@ -207,10 +232,11 @@ def scan(docs: DataFrame) -> DataFrame:
     return (
         docs.withColumn("_text", F.coalesce("text", F.lit("")))
         .withColumn("_base", base_spans(F.col("_text")).cast(_SPANS))
-        .withColumn(
-            "_spans",
-            F.sort_array(F.concat("_base", entropy_spans(F.col("_text"), F.col("_base")))).cast(_SPANS),
-        )
+        .withColumn("_rest", blanked(F.col("_text"), F.col("_base")))
+        # A word half covered by a fixed pattern is still a word.
+        .withColumn("_rest", blanked(F.col("_rest"), harmless_spans(F.col("_text"))))
+        .withColumn("_spans", F.sort_array(F.concat("_base", entropy_spans(F.col("_rest")))).cast(_SPANS))
+        .drop("_rest")
     )
 
 
