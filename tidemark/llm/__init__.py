@@ -11,12 +11,14 @@ from tidemark.llm import (
     chat,
     embeddings,
     langid,
+    merkle,
     minhash,
     packing,
     quality,
     secrets,
     sharding,
     suffixes,
+    windows,
 )
 
 
@@ -32,9 +34,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         langid.op8_language_id,
         suffixes.op9_suffix_dedup,
         secrets.op10_secret_scan,
+        merkle.op11_merkle_manifest,
+        windows.op13_ordered_packing,
     )
     return {build.__name__: build for build in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat.OP2_SQL}
+    return {"op2_chat_format": chat.OP2_SQL, "op11_merkle_manifest": merkle.OP11_SQL}
