@@ -18,6 +18,7 @@ from tidemark.llm import (
     secrets,
     sharding,
     suffixes,
+    trie,
     windows,
 )
 
@@ -35,10 +36,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         suffixes.op9_suffix_dedup,
         secrets.op10_secret_scan,
         merkle.op11_merkle_manifest,
+        trie.op12_prefix_trie,
         windows.op13_ordered_packing,
     )
     return {build.__name__: build for build in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat.OP2_SQL, "op11_merkle_manifest": merkle.OP11_SQL}
+    return {
+        "op2_chat_format": chat.OP2_SQL,
+        "op11_merkle_manifest": merkle.OP11_SQL,
+        "op12_prefix_trie": trie.OP12_SQL,
+    }
