@@ -11,7 +11,7 @@ stands left of it is in the state. The same way the digest of a proof is carried
 to level as a state.
 
 Leaves are placed by a sort over ranges, so a source may hold most rows. Trees are climbed in
-blocks of ``BLOCK`` leaves, each within one task and many at once in numpy: a task folds its own
+blocks of ``LEVELS`` levels, each within one task and many at once in numpy: a task folds its own
 leaves to the top of their block, and only tops, one for thousands of leaves, go on to the
 next round, where a block's way up is one row of records that is joined to its leaves.
 
@@ -35,8 +35,7 @@ from tidemark.llm.ranks import ranked
 
 ARITY = 3
 LEVELS = 7
-BLOCK = ARITY**LEVELS
-GROUP_ROWS = 4 * BLOCK
+GROUP_BLOCKS = 4
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 #: One level on the way up: children of the parent, own slot, state before it, the other children.
@@ -125,26 +124,28 @@ def _levels(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _blocks_of(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """Rows in order, their place in their block and the levels to climb in it."""
-    rows = rows.sort_values(["tree", "pos"], ignore_index=True)
+def _blocks_of(rows: pd.DataFrame, levels: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """Rows in order with their ``block``, their place in it and the levels to climb in it."""
+    rows = rows.drop(columns="_group").sort_values(["tree", "pos"], ignore_index=True)
     pos = rows["pos"].to_numpy()
-    return rows, pos % BLOCK, np.minimum(_levels(rows["n"].to_numpy()), LEVELS)
+    rows["block"] = pos // ARITY**levels
+    return rows, pos % ARITY**levels, np.minimum(_levels(rows["n"].to_numpy()), levels)
 
 
-def _grouped(nodes: DataFrame):
-    """Whole blocks, several to a group of about GROUP_ROWS."""
-    groups = max(1, -(-nodes.count() // GROUP_ROWS))
-    block = F.expr(f"pos div {BLOCK}")
+def _grouped(nodes: DataFrame, levels: int):
+    """Whole blocks, about GROUP_BLOCKS to a group."""
+    size = ARITY**levels
+    groups = max(1, -(-nodes.count() // (GROUP_BLOCKS * size)))
+    block = F.expr(f"pos div {size}")
     return nodes.withColumn("_group", F.pmod(F.xxhash64("tree", block), F.lit(groups))).groupBy("_group")
 
 
-def folded_blocks(leaves: DataFrame) -> DataFrame:
+def folded_blocks(leaves: DataFrame, block_levels: int = LEVELS) -> DataFrame:
     """Leaves (``tree, pos, n, id, leaf, changed``) with ``block``, its ``top``, the changed leaf
     ``folded`` up to it, and the ``proof`` so far as a state after ``blocks``."""
 
     def take(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, pos, levels = _blocks_of(rows)
+        rows, pos, levels = _blocks_of(rows, block_levels)
         given = sha256.from_bytes(list(map(bytes.fromhex, rows["leaf"])))
         now = sha256.from_bytes(list(map(bytes.fromhex, rows["changed"])))
         proof = np.broadcast_to(sha256.START, now.shape).copy()
@@ -157,23 +158,22 @@ def folded_blocks(leaves: DataFrame) -> DataFrame:
             digests, state, blocks = now[:, part], proof[:, part], count[part]
             fold(digests, state, blocks, steps[part])
             now[:, part], proof[:, part], count[part] = digests, state, blocks
-        rows["block"] = rows["pos"] // BLOCK
         rows["top"], rows["folded"] = sha256.to_bytes(top), sha256.to_bytes(now)
         rows["proof"], rows["blocks"] = sha256.to_bytes(proof), count
-        return rows.drop(columns=["_group", "changed"])
+        return rows.drop(columns="changed")
 
-    return _grouped(leaves).applyInPandas(
+    return _grouped(leaves, block_levels).applyInPandas(
         take,
         "tree string, id string, leaf string, n long, pos long, block long, top binary, "
         "folded binary, proof binary, blocks long",
     )
 
 
-def _paths(nodes: DataFrame) -> DataFrame:
+def _paths(nodes: DataFrame, block_levels: int) -> DataFrame:
     """Nodes (``tree, pos, n, top``) with the ``path`` to the top of their block."""
 
     def take(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, pos, levels = _blocks_of(rows)
+        rows, pos, levels = _blocks_of(rows, block_levels)
         paths = [b""] * len(rows)
         for climbs, steps in climb(pos, levels, sha256.from_bytes(list(rows["top"]))):
             if climbs is None:
@@ -181,21 +181,21 @@ def _paths(nodes: DataFrame) -> DataFrame:
                 break
             for i in np.flatnonzero(climbs).tolist():
                 paths[i] += steps[i].tobytes()
-        rows["path"], rows["block"] = paths, rows["pos"] // BLOCK
-        return rows.drop(columns="_group")
+        rows["path"] = paths
+        return rows
 
-    return _grouped(nodes).applyInPandas(
+    return _grouped(nodes, block_levels).applyInPandas(
         take, "tree string, pos long, n long, top binary, path binary, block long"
     )
 
 
-def _roots(nodes: DataFrame) -> DataFrame:
+def _roots(nodes: DataFrame, levels: int) -> DataFrame:
     """``tree, pos, path, root``: the way of each node (``tree, pos, n, top``) up to the root of
     its tree, in as many rounds as there are blocks on it."""
     if nodes.where("n > 1").isEmpty():
         return nodes.select("tree", "pos", F.lit("").cast("binary").alias("path"), F.col("top").alias("root"))
-    climbed = written(_paths(nodes), "manifest-paths")
-    rest = _roots(_tops(climbed)).select(
+    climbed = written(_paths(nodes, levels), "manifest-paths")
+    rest = _roots(_tops(climbed, levels), levels).select(
         "tree", F.col("pos").alias("block"), F.col("path").alias("_further"), "root"
     )
     return climbed.join(rest, ["tree", "block"]).select(
@@ -203,10 +203,11 @@ def _roots(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _tops(climbed: DataFrame) -> DataFrame:
+def _tops(climbed: DataFrame, levels: int) -> DataFrame:
     """The tops of blocks, as nodes of the next round."""
-    more = F.expr(f"(n + {BLOCK - 1}) div {BLOCK}")
-    return climbed.where(f"pos % {BLOCK} = 0").select("tree", F.col("block").alias("pos"), more.alias("n"), "top")
+    size = ARITY**levels
+    more = F.expr(f"(n + {size - 1}) div {size}")
+    return climbed.where(f"pos % {size} = 0").select("tree", F.col("block").alias("pos"), more.alias("n"), "top")
 
 
 def _finish(rows: pd.DataFrame) -> pd.DataFrame:
@@ -233,8 +234,9 @@ def _finish(rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
-    """``doc_id, leaf, subroot, root, proof_sha256, folded_root`` of each row of ``docs``.
+def manifest(docs: DataFrame, changed: Column | None = None, levels: int = LEVELS) -> DataFrame:
+    """``doc_id, leaf, subroot, root, proof_sha256, folded_root`` of each row of ``docs``, climbed in
+    blocks of so many levels.
 
     ``changed`` is the leaf to fold in place of a row's own; where null, its own is folded."""
     # Null before every name, and the order of names kept.
@@ -247,15 +249,15 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     placed = ranked(leaves, "tree", "doc_id", "leaf").select(
         "tree", F.col("doc_id").cast("string").alias("id"), "leaf", "changed", "pos", "n"
     )
-    folded = written(folded_blocks(placed), "manifest-leaves")
+    folded = written(folded_blocks(placed, levels), "manifest-leaves")
 
-    sources = written(_roots(_tops(folded)), "manifest-sources")
+    sources = written(_roots(_tops(folded, levels), levels), "manifest-sources")
     # The tree of sources, and the way of every block of leaves through it.
     names = sources.where("pos = 0").select(
         F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("root").alias("top")
     )
     names = written(ranked(names, "tree", "name"), "manifest-names")
-    whole = _roots(names.select("tree", "pos", "n", "top")).select(
+    whole = _roots(names.select("tree", "pos", "n", "top"), levels).select(
         "pos", F.col("path").alias("_further"), F.col("root").alias("_root")
     )
     ways = sources.join(
@@ -280,13 +282,18 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     return done.select(F.col("id").cast(kind).alias("doc_id"), *done.columns[1:])
 
 
-def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def tampered_leaf() -> Column:
+    """The leaf without the text's line breaks, where 2 divides the checksum of the id."""
     fields = {c: F.col(c) for c in FIELDS} | {"text": F.translate("text", "\n", "")}
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
-    return manifest(docs, F.when(tampered, leaf(fields))).withColumn(
-        "verified", F.col("folded_root") == F.col("root")
-    )
+    return F.when(tampered, leaf(fields))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str, levels: int = LEVELS) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"), tampered_leaf(), levels).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
 
 
 # The trees by recursion over levels. The checksum is the public 32-bit one of zip files.
