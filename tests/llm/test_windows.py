@@ -29,6 +29,12 @@ def test_ids_are_the_library_s(text):
     assert np.frombuffer(made.encode(text), "<u4").tolist() == made.whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|startoftext|><|x|>", "a\x1cb", "a\x85b\xa0c", "ΑΣ ΣΑ", "<| plain"])
+def test_special_tokens_and_rare_blanks(text):
+    made = windows.words(windows.default_path())
+    assert np.frombuffer(made.encode(text), "<u4").tolist() == made.whole.encode(text, add_special_tokens=False).ids
+
+
 def cheapest(at, price, rule):
     """Cost of every way to cut, by recursion over the last window."""
     cost = [0]

@@ -17,9 +17,9 @@ next, so memory is bounded and no block ends in a short window. Only a partition
 to its end sums of a few powers of two are offered as cuts too. A retried task reads the same
 rows in the same order and cuts them alike.
 
-Tokens are those of the library's tokenizer for a vocabulary file, then ``END``. Words between
-blanks are tokenized one by one and remembered, up to ``CACHE`` in a worker; texts with special
-tokens or rare blanks in them go to the library whole.
+Tokens are those of the library's tokenizer for a vocabulary file, then ``END``. Its model sees
+each word once and its tokens are remembered, up to ``CACHE`` words in a worker; the library
+splits words of rare characters itself, and texts with special tokens or rare blanks whole.
 
 Defined cases: a null or empty text is its end mark alone; texts are taken whole; repeated rows
 and null or repeated ids are packed each; an empty table gives no rows; other columns are ignored.
@@ -27,6 +27,8 @@ and null or repeated ids are packed each; an empty table gives no rows; other co
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -34,7 +36,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -59,9 +60,6 @@ class Rule:
 class Words:
     """Token ids of texts, as little-endian 32-bit numbers, equal to the library's own."""
 
-    # Fixed value: the split pattern of the vocabulary file.
-    PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -69,43 +67,46 @@ class Words:
         self.whole.no_truncation()
         self.whole.no_padding()
         self.model = self.whole.model
-        self.parts = regex.compile(self.PARTS).findall
         # Special tokens, and characters that only one of the two libraries takes for blanks.
-        self.odd = regex.compile(r"<\||[\x1c-\x1f᠎]").search
+        self.odd = re.compile(r"<\||[\x1c-\x1f\u180e]").search
         # Characters that no normal form changes and that lower-case to one character.
-        self.plain = regex.compile(r"[!-~¡-įı-ſ]+").fullmatch
+        own = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x180)) if c != 0x130]
+        letters, numbers = ("".join(c for c in own if unicodedata.category(c)[0] == kind) for kind in "LN")
+        self.plain = re.compile(f"[\t\n\r {re.escape(''.join(own))}]*").fullmatch
+        # Fixed value: the split pattern of the vocabulary file, for such characters.
+        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+").findall
         self.letters = byte_alphabet()
         self.known: dict[str, bytes] = {}
 
-    def _library(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        if not self.plain(word):
-            got = self._library(word)
+    def _new(self, word: str, plain: bool) -> bytes:
+        if plain:
+            raw = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.model.tokenize(raw)]
         else:
-            ids = []
-            for part in self.parts(word.lower()):
-                if not part.isascii():
-                    part = part.encode().decode("latin-1").translate(self.letters)
-                ids += [token.id for token in self.model.tokenize(part)]
-            got = np.array(ids, "<u4").tobytes()
+            ids = self.whole.encode(word, add_special_tokens=False).ids
+        got = np.array(ids, "<u4").tobytes()
         if len(word) <= CACHED_CHARS and len(self.known) < CACHE:
             self.known[word] = got
         return got
 
+    def _plain(self, text: str) -> bytes:
+        known, new = self.known.get, self._new
+        return b"".join([known(p) or new(p, True) for p in self.parts(text.lower())])
+
     def encode(self, text: str) -> bytes:
         if self.odd(text):
-            return self._library(text)
-        known, new = self.known.get, self._word
-        return b"".join([known(w) or new(w) for w in text.split()])
+            return self._new(text, False)
+        if self.plain(text):
+            return self._plain(text)
+        known, new, plain = self.known.get, self._new, self.plain
+        return b"".join([self._plain(w) if plain(w) else known(w) or new(w, False) for w in text.split()])
 
     @lru_cache(maxsize=1)
     def closing(self) -> np.ndarray:
         """For each id, whether the token ends a sentence."""
         vocab = self.whole.get_vocab()
         out = np.zeros(max(vocab.values()) + 1, bool)
-        close = regex.compile(r"[^\p{L}\p{N}]*[.!?][^\p{L}\p{N}]*</w>").fullmatch
+        close = re.compile(r"[^\w]*[.!?][^\w]*</w>").fullmatch
         out[[i for token, i in vocab.items() if close(token)]] = True
         return out
 
