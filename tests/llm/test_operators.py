@@ -324,8 +324,8 @@ def test_suffixes_of_long_texts_in_pieces(spark, monkeypatch):
     text = "".join(rng.choice("abcdefgh ") for _ in range(6000))
     text = text[:3000] + text[100:900] + text[3000:]
     monkeypatch.setattr(suffixes, "PIECE", 700)
-    found = list(suffixes.runs([1], [text.encode()], suffixes.Depth()))
-    first, n, _ = suffixes._unfolded(np.concatenate([f["place"].to_numpy() for f in found]))
+    found = list(suffixes.runs(iter([(1, memoryview(text.encode()))]), suffixes.Depth()))
+    first, n, _ = suffixes._unfolded(np.concatenate([f["place"] for f in found]))
     places = np.sort(suffixes._places(first, n))
     assert (places == np.arange(len(text) - 199)).all()
 

@@ -35,14 +35,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.llm.common import numbered, table, written
 from tidemark.llm.hashing import Stretches, U, mixed
 
-PIECE = 1 << 20
-ROWS = 1 << 19
-STEP = 8
+PIECE = 1 << 17
+ROWS = 1 << 18
+STEP_BITS = 3
+STEP = 1 << STEP_BITS
 
 
 @dataclass(frozen=True)
@@ -58,11 +60,17 @@ class Depth:
         return self.depth - self.gram + 1
 
 
-def _blocks(rows: list[int], raws: list[bytes], depth: int) -> Iterator[tuple]:
+def _texts(batch: pa.RecordBatch) -> Iterator[memoryview]:
+    """The bytes of each text where they lie in the batch; a null text has none."""
+    for text in batch.column("text"):
+        yield memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+
+
+def _blocks(texts: Iterator[tuple[int, memoryview]], depth: int) -> Iterator[tuple]:
     """Blocks of about PIECE bytes: bytes, and for each stretch its place in the block, its row and
     where it starts in its text. Long texts come in stretches that overlap by ``depth - 1``."""
     parts, size = [], 0
-    for row, raw in zip(rows, raws):
+    for row, raw in texts:
         if len(raw) < depth:
             continue
         for at in range(0, len(raw) - depth + 1, PIECE):
@@ -76,7 +84,7 @@ def _blocks(rows: list[int], raws: list[bytes], depth: int) -> Iterator[tuple]:
         yield _joined(parts)
 
 
-def _joined(parts: list[tuple[int, int, bytes]]) -> tuple:
+def _joined(parts: list[tuple[int, int, memoryview]]) -> tuple:
     lengths = np.array([len(p[2]) for p in parts])
     return (
         np.frombuffer(b"".join(p[2] for p in parts), np.uint8),
@@ -96,11 +104,11 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def runs(rows: list[int], raws: list[bytes], rule: Depth) -> Iterator[pd.DataFrame]:
+def runs(texts: Iterator[tuple[int, memoryview]], rule: Depth) -> Iterator[dict[str, np.ndarray]]:
     """Pass 1: ``gram, run, row, place`` for every run of suffixes with one anchor. ``run`` is
     the digit of pass 2; ``place`` holds the first suffix, and in its low bytes their
     number and how far behind the first the anchor stands, both at most the span."""
-    for data, starts, row, offset in _blocks(rows, raws, rule.depth):
+    for data, starts, row, offset in _blocks(texts, rule.depth):
         hashed = Stretches(data)
         grams = hashed.sliding(rule.gram)
         # Place in the low bits, so that the first of equals counts and is known.
@@ -127,14 +135,12 @@ def runs(rows: list[int], raws: list[bytes], rule: Depth) -> Iterator[pd.DataFra
         run = mixed(Stretches(data, 1).plain(first, stop + rule.depth - 1) + length)
         # Where the anchor stands in the run belongs to its digit.
         run = mixed(run ^ (at - first).astype(np.uint64))
-        yield pd.DataFrame(
-            {
-                "gram": grams[at].view(np.int64),
-                "run": run.view(np.int64),
-                "row": row[part],
-                "place": ((first + shift) << 20) | ((stop - first) << 10) | (at - first),
-            }
-        )
+        yield {
+            "gram": grams[at].view(np.int64),
+            "run": run.view(np.int64),
+            "row": row[part],
+            "place": ((first + shift) << 20) | ((stop - first) << 10) | (at - first),
+        }
 
 
 _RUNS = "gram long, run long, row long, place long"
@@ -147,12 +153,13 @@ def _unfolded(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def all_runs(docs: DataFrame, rule: Depth) -> DataFrame:
-    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raws = [(t or "").encode() for t in batch["text"]]
-            yield from runs(batch["row"].tolist(), raws, rule)
+            texts = zip(batch.column("row").to_pylist(), _texts(batch))
+            for found in runs(texts, rule):
+                yield pa.RecordBatch.from_pydict(found)
 
-    return docs.select("row", "text").mapInPandas(take, _RUNS)
+    return docs.select("row", "text").mapInArrow(take, _RUNS)
 
 
 def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -162,43 +169,43 @@ def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - first, counts) + np.arange(total)
 
 
-def _stretches(
-    batches: Iterator[pd.DataFrame], fields: list[str], reach: int, bits: int = 0
-) -> Iterator[tuple]:
-    """Row, bytes, where they start in the text, and the structs of ``open`` (a line each) that
-    begin within a stretch of PIECE bytes. The first field, less ``bits``, is the place."""
+def _stretches(batches: Iterator[pa.RecordBatch], reach: int, bits: int) -> Iterator[tuple]:
+    """Row, bytes, where they start in the text, and the numbers in ``open`` whose place, all but
+    the low ``bits``, lies within a stretch of PIECE bytes."""
     for batch in batches:
-        for r in batch.itertuples(index=False):
-            raw = np.frombuffer(r.text.encode(), np.uint8)
-            todo = np.array([[o[f] for f in fields] for o in r.open], np.int64)
-            todo = todo[np.argsort(todo[:, 0], kind="stable")]
-            part = (todo[:, 0] >> bits) // PIECE
-            for lines in np.split(todo, np.flatnonzero(part[1:] != part[:-1]) + 1):
-                base, last = int(lines[0, 0]) >> bits, int(lines[-1, 0]) >> bits
-                yield r.row, raw[base : last + reach], base, lines
-
-
-def _gathered(found: Iterator[dict]) -> Iterator[pd.DataFrame]:
-    """Frames of about ROWS lines out of many small ones."""
+        lists = batch.column("open")
+        ends, every = lists.offsets.to_numpy(), lists.values.to_numpy()
+        rows = batch.column("row").to_pylist()
+        for row, text, start, stop in zip(rows, _texts(batch), ends[:-1], ends[1:]):
+            raw = np.frombuffer(text, np.uint8)
+            todo = np.sort(every[start:stop])
+            part = (todo >> bits) // PIECE
+            for some in np.split(todo, np.flatnonzero(part[1:] != part[:-1]) + 1):
+                base, last = int(some[0]) >> bits, int(some[-1]) >> bits
+                yield row, raw[base : last + reach], base, some
+
+
+def _gathered(found: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ROWS lines out of many small ones."""
     held, size = [], 0
     for one in found:
         held.append(one)
         size += len(next(iter(one.values())))
         if size >= ROWS:
-            yield pd.DataFrame({k: np.concatenate([h[k] for h in held]) for k in held[0]})
+            yield pa.RecordBatch.from_pydict({k: np.concatenate([h[k] for h in held]) for k in held[0]})
             held, size = [], 0
     if held:
-        yield pd.DataFrame({k: np.concatenate([h[k] for h in held]) for k in held[0]})
+        yield pa.RecordBatch.from_pydict({k: np.concatenate([h[k] for h in held]) for k in held[0]})
 
 
 def cores(docs: DataFrame, rule: Depth) -> DataFrame:
     """Pass 3: ``core, row, low, high`` for rows with ``row, text`` and an array ``open`` of
-    structs ``place``: suffixes ``low`` to ``high`` share the core."""
+    places: suffixes ``low`` to ``high`` share the core."""
 
     def each(batches):
-        for row, data, base, todo in _stretches(batches, ["place"], 4 * rule.depth, 20):
+        for row, data, base, todo in _stretches(batches, 4 * rule.depth, 20):
             hashed = Stretches(data, 2)
-            first, n, anchor = _unfolded(todo[:, 0])
+            first, n, anchor = _unfolded(todo)
             first, anchor = first - base, anchor - base
             last = first + n - 1
             # By distance before the anchor, in steps.
@@ -216,17 +223,18 @@ def cores(docs: DataFrame, rule: Depth) -> DataFrame:
                 "high": np.minimum(g, start) + base,
             }
 
-    return docs.select("row", "text", "open").mapInPandas(
+    return docs.select("row", "text", "open").mapInArrow(
         lambda it: _gathered(each(it)), "core long, row long, low long, high long"
     )
 
 
 def last_digits(docs: DataFrame, rule: Depth) -> DataFrame:
-    """Pass 4: ``d1, d2, row, at`` for rows with an array ``open`` of structs ``low, high``."""
+    """Pass 4: ``d1, d2, row, at`` for rows with an array ``open`` of ranges: the first suffix,
+    and in the lowest bits how many follow it, fewer than STEP."""
 
     def each(batches):
-        for row, data, base, todo in _stretches(batches, ["low", "high"], STEP + rule.depth):
-            at = _places(todo[:, 0] - base, todo[:, 1] - todo[:, 0] + 1)
+        for row, data, base, todo in _stretches(batches, STEP + rule.depth, STEP_BITS):
+            at = _places((todo >> STEP_BITS) - base, (todo & (STEP - 1)) + 1)
             d1, d2 = (mixed(Stretches(data, s).plain(at, at + rule.depth)) for s in (3, 4))
             yield {
                 "d1": d1.view(np.int64),
@@ -235,14 +243,14 @@ def last_digits(docs: DataFrame, rule: Depth) -> DataFrame:
                 "at": at + base,
             }
 
-    return docs.select("row", "text", "open").mapInPandas(
+    return docs.select("row", "text", "open").mapInArrow(
         lambda it: _gathered(each(it)), "d1 long, d2 long, row long, at long"
     )
 
 
-def _with_open(docs: DataFrame, parts: DataFrame, *fields: str) -> DataFrame:
+def _with_open(docs: DataFrame, parts: DataFrame, part: Column) -> DataFrame:
     """Texts of the rows in ``parts``, each with its parts as one array."""
-    lists = parts.groupBy("row").agg(F.collect_list(F.struct(*fields)).alias("open"))
+    lists = parts.groupBy("row").agg(F.collect_list(part).alias("open"))
     return docs.select("row", "text").join(lists, "row")
 
 
@@ -271,10 +279,10 @@ def repeated_starts(docs: DataFrame, rule: Depth = Depth()) -> tuple[DataFrame,
     # One run for each group, where an anchor has several groups.
     several = written(groups.groupBy("gram").agg(F.count("*").alias("g")).where("g > 1").select("gram"), "mixed-anchors")
     open_ = groups.join(several, "gram").select("one.*")
-    core = written(cores(_with_open(texts, open_, "place"), rule), "suffix-cores")
+    core = written(cores(_with_open(texts, open_, F.col("place")), rule), "suffix-cores")
     same = written(core.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core"), "repeated-cores")
     left = core.join(same, "core").select("row", "low", "high")
-    digits = written(last_digits(_with_open(texts, left, "low", "high"), rule), "suffix-digits")
+    digits = written(last_digits(_with_open(texts, left, F.col("low") * STEP + F.col("high") - F.col("low")), rule), "suffix-digits")
     pairs = written(
         digits.groupBy("d1", "d2").agg(F.count("*").alias("m")).where("m > 1").select("d1", "d2"), "repeated-digits"
     )
@@ -283,21 +291,19 @@ def repeated_starts(docs: DataFrame, rule: Depth = Depth()) -> tuple[DataFrame,
 
 
 def spans(starts: DataFrame, rule: Depth = Depth()) -> DataFrame:
-    """``row, spans``: maximal stretches of bytes ``[start, stop)`` to remove of each row."""
-    begins = starts.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("r"))
-
-    def join(ranges: pd.Series) -> pd.Series:
-        out = []
-        for row in ranges:
-            pairs = np.array([(p["low"], p["high"]) for p in row], np.int64)
-            low, high = pairs[:, 0], np.maximum.accumulate(pairs[:, 1])
-            new = np.r_[True, low[1:] > high[:-1] + rule.depth]
-            stop = high[np.r_[np.flatnonzero(new)[1:] - 1, len(high) - 1]] + rule.depth
-            out.append(list(map(list, zip(low[new].tolist(), stop.tolist()))))
-        return pd.Series(out)
-
-    merged = F.pandas_udf(join, "array<array<long>>")
-    return begins.select("row", merged("r").alias("spans"))
+    """``row, spans``: maximal stretches of bytes ``[start, stop)`` to remove of each row. Ranges
+    are merged in order before they are gathered, so only what is left of them is an array."""
+    ordered = W.partitionBy("row").orderBy("low", "high")
+    before = F.max("high").over(ordered.rowsBetween(W.unboundedPreceding, -1))
+    first = before.isNull() | (F.col("low") > before + rule.depth)
+    stretch = F.count_if("_first").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+    merged = (
+        starts.withColumn("_first", first)
+        .withColumn("_stretch", stretch)
+        .groupBy("row", "_stretch")
+        .agg(F.min("low").alias("start"), (F.max("high") + rule.depth).alias("stop"))
+    )
+    return merged.groupBy("row").agg(F.sort_array(F.collect_list(F.array("start", "stop"))).alias("spans"))
 
 
 def _without(raw: bytes, spans) -> bytes:
