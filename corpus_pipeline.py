@@ -5,10 +5,18 @@ known language go, one document of each near-duplicate group stays, passages tha
 between documents are cut out, secrets are masked, and what is left is packed. All stages but the
 last return the columns of ``documents``; ``lang`` is the language found, ``n_chars`` follows
 the text. A document stays even if a stage leaves no text of it, except where it is rejected.
+
+Defined cases: a null or empty text has no letters, so the first stage rejects it; later stages
+leave such texts as they are. Null or repeated ids, rows in full again and null values of other
+columns are kept as rows of their own, unless near duplicates. Further columns of any name go
+through unchanged. An empty table gives empty results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import langid, minhash, packing, secrets, suffixes
@@ -16,6 +24,21 @@ from tidemark.llm.common import numbered, table
 from tidemark.session import scratch_path
 
 MIN_SCORE = 0.5
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _apart(stage: Stage) -> Stage:
+    """``stage`` with further columns out of the way of the operators' own names."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        inner = [c if c in COLUMNS else f"further_{i}" for i, c in enumerate(names)]
+        return stage(spark, docs.toDF(*inner), sf_dir).toDF(*names)
+
+    return run
 
 
 def _with(docs: DataFrame, columns: list[str], **new: Column) -> DataFrame:
@@ -24,6 +47,7 @@ def _with(docs: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     return docs.select(*(new[c].cast(kinds[c]).alias(c) if c in new else F.col(c) for c in columns))
 
 
+@_apart
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose best language is no better than a guess, go."""
     found = langid.identify(docs, *langid.train(docs))
@@ -31,6 +55,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with(kept, docs.columns, lang=F.col("_lang"))
 
 
+@_apart
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each near-duplicate group stays."""
     rows = numbered(docs)
@@ -39,6 +64,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rows.join(gone.hint("shuffle_hash"), "row", "left_anti").select(*docs.columns)
 
 
+@_apart
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that stand anywhere else too are cut out of every document."""
     rows = numbered(docs)
@@ -47,6 +73,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _with(rows.join(cut, "row", "left"), docs.columns, text=text, n_chars=F.length(text))
 
 
+@_apart
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets give way to the name of their kind."""
     found = secrets.scan(docs)
