@@ -72,3 +72,46 @@ def test_pipeline_against_plain_versions(spark, sf_dir):
         for d, n in zip(r["doc_ids"], r["lengths"]):
             total[d] = total.get(d, 0) + n
     assert total == {d: len(brute.words(r["text"])) + 1 for d, r in safe.items()}
+
+
+ODD = "_kept string, row long, _text int, text string, _lang string, doc_id long, lang string, _spans string, source string, n_chars long"
+
+
+def test_pipeline_with_clashing_columns_and_odd_rows(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).collect()
+    rows = [("k", 7, 1, r["text"], "x", r["doc_id"], r["lang"], "s", r["source"], r["n_chars"]) for r in given]
+    rows += [(None, None, None, None, None, None, None, None, None, None), rows[0], rows[0]]
+    rows += [("k", 8, 2, text, "y", 10**6 + i, None, "t", None, None) for i, text in enumerate([None, "", "   ", "12 34"])]
+    docs = spark.createDataFrame(rows, ODD)
+    extra = ["_kept", "row", "_text", "_lang", "_spans"]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        kept = out.collect()
+        if name == "best_fit_packing":
+            assert sum(r["n_tokens"] for r in kept) > 0
+            break
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        assert {tuple(r[c] for c in extra) for r in kept} <= {("k", 7, 1, "x", "s"), ("k", 8, 2, "y", "t"), (None,) * 5}
+        assert kept
+        docs = spark.createDataFrame(kept, out.schema)
+
+
+def test_pipeline_on_an_empty_table(spark, sf_dir):
+    docs = spark.createDataFrame([], ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        assert out.collect() == []
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
+
+
+def test_stages_leave_odd_texts_alone(spark, sf_dir):
+    """Nulls and empty texts past the first stage."""
+    rows = [(1, None, "en", None, None), (2, "", None, "s", 0), (None, "some words here", None, None, 15), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    steps = dict(corpus_pipeline.STAGES)
+    for name in ("minhash_dedup", "suffix_dedup", "secret_scan"):
+        got = steps[name](spark, docs, sf_dir).collect()
+        assert sorted(str(r["text"]) for r in got) == sorted(str(r[1]) for r in rows), name
+    packed = steps["best_fit_packing"](spark, docs, sf_dir).collect()
+    assert sum(r["n_tokens"] for r in packed) == 3 + 4
