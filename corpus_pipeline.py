@@ -50,7 +50,7 @@ def _with(docs: DataFrame, columns: list[str], **new: Column) -> DataFrame:
 @_apart
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose best language is no better than a guess, go."""
-    found = langid.identify(docs, *langid.train(docs))
+    found = langid.identify(docs, langid.train(docs))
     kept = found.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= MIN_SCORE))
     return _with(kept, docs.columns, lang=F.col("_lang"))
 
