@@ -370,3 +370,20 @@ def test_secrets_beside_patterns_and_harmless_words(spark):
         assert not any(set(range(s["start"], s["stop"])) & covered for s in got[i]["_spans"] if s["kind"].startswith("entropy"))
     for i in range(len(joined), len(texts)):
         assert [s["kind"] for s in got[i]["_spans"] if s["kind"].startswith("entropy")] == []
+
+
+def test_open_band_of_a_large_group_costs_its_members(spark):
+    """One component of 3,000 and ten strangers in a band: rows grow with the members, and every
+    pair across components still meets once or in the same block."""
+    size, strangers = 3000, 10
+    members = spark.range(size + strangers).selectExpr("0 as band", "7L as key", "id")
+    roots = spark.range(size).selectExpr("id", "0L as root")
+    classes = spark.range(size + strangers).selectExpr("id", "5 as n", "cast('x' as binary) as sketch")
+    dealt = minhash._dealt(minhash._open_bands(members, roots), classes)
+    assert dealt.count() <= 2 * (size + strangers * (size // minhash.BLOCK + 2))
+    cells = ["band", "key", "bi", "bj"]
+    met = dealt.alias("x").join(dealt.alias("y"), cells).where(
+        "x.label <> y.label and x.id < y.id and (x.bi = x.bj or x.at <> y.at)"
+    ).groupBy("x.id", "y.id").count()
+    pairs = size * strangers + strangers * (strangers - 1) // 2
+    assert met.count() == pairs and met.where("count > 1").isEmpty()

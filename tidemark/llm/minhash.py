@@ -403,25 +403,37 @@ def _block_links(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.Dat
 
 
 def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``band, key, id, label, parts``: members of bands that hold several components, and
-    the number of blocks the band is dealt into."""
+    """``band, key, id, label, main, outer, inner``: members of bands that hold several components,
+    whether a member is in the component that has most of the band, and the number of blocks that
+    the others and its members are dealt into."""
     labelled = members.join(roots, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("label"))
     labelled = written(labelled, "band-labels")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("long")
     several = (
-        labelled.groupBy("band", "key")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
-        .where("lo != hi")
-        .select("band", "key", F.ceil(F.col("m") / BLOCK).alias("parts"))
-    )
-    return labelled.join(written(several, "several-components"), ["band", "key"])
+        labelled.groupBy("band", "key", "label")
+        .agg(F.count("*").alias("c"))
+        .groupBy("band", "key")
+        .agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("m"))
+        .where("m > top.c")
+        .select(
+            "band", "key", F.col("top.label").alias("most"),
+            blocks(F.col("m") - F.col("top.c")).alias("outer"), blocks(F.col("top.c")).alias("inner"),
+        )
+    )
+    found = labelled.join(written(several, "several-components"), ["band", "key"])
+    return found.withColumn("main", F.col("label") == F.col("most")).drop("most")
 
 
 def _dealt(open_: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of open bands in every pair of blocks they are in, with their sketches."""
-    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    """Members of open bands in every pair of blocks they are in, with their sketches. Blocks of the
+    component that has most of a band follow those of the others and meet these only, so a few
+    strangers in the band of a large group cost as many rows as the group has."""
+    spot = F.xxhash64("id")
+    at = F.when(F.col("main"), F.col("outer") + F.pmod(spot, F.col("inner"))).otherwise(F.pmod(spot, F.col("outer")))
+    last = F.when(F.col("main"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
     return _sorted(
-        open_.withColumn("at", F.pmod(F.xxhash64("id"), F.col("parts")))
-        .select("band", "key", "id", "label", "at", F.explode(every).alias("to"))
+        open_.withColumn("at", at)
+        .select("band", "key", "id", "label", "at", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("to"))
         .select("band", "key", "id", "label", "at", F.least("at", "to").alias("bi"), F.greatest("at", "to").alias("bj"))
         .join(classes.select("id", "n", "sketch"), "id")
     )
