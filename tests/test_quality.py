@@ -90,3 +90,18 @@ def test_null_numbers_keep_their_rows(spark):
 def test_mask_any_pattern(spark):
     df = spark.sql("select 'call 555-0100' as t")
     assert q.mask_text(df, "t", r"\d{3}-\d{4}").first()["t"] == "call ***"
+
+
+def test_distinct_counts_are_exact(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", None), (2, None, None)], "x int, y string, z int")
+    assert _sorted(q.distinct_counts(df)) == [("x", 2), ("y", 2), ("z", 0)]
+
+
+def test_duplicate_columns_of_many(spark):
+    """Groups of three and two; columns that hold the same values in other rows differ."""
+    rows = [(i, i, i, 9 - i, str(i % 3), str(i % 3), None, None) for i in range(10)] * 2
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e string, f string, g int, h int")
+    assert _sorted(q.duplicate_columns(df)) == [("a", "b"), ("a", "c"), ("b", "c"), ("e", "f"), ("g", "h")]
+    wide = spark.range(50).select(*(F.col("id") * (k % 40) for k in range(80)))
+    wide = wide.toDF(*(f"c{k}" for k in range(80)))
+    assert q.duplicate_columns(wide).count() == 40

@@ -295,3 +295,15 @@ def test_shipping_date_units(spark):
     ms = ship.withColumn("shipped_date", F.col("shipped_date") * 1000)
     assert marts.products_sent_discounted(ms, lines, "ms").first()["shipped_date"] == (
         datetime.date(1996, 7, 4))
+
+
+def test_catalog_lists_tables_and_columns(spark, sf_dir):
+    tables.register_tables(spark, "listed", {n: f"{sf_dir}/{n}.parquet" for n in ("nation", "region")})
+    try:
+        assert "listed" in tables.list_databases(spark)
+        got = {(r["table_name"], r["position"]): r["column_name"] for r in tables.catalog_columns(spark, "listed").collect()}
+        assert got[("region", 1)] == "r_regionkey" and len({t for t, _ in got}) == 2
+        sizes = {r["table_name"]: r["rows"] for r in tables.database_sizes(spark, "listed").collect()}
+        assert sizes["nation"] == spark.read.parquet(f"{sf_dir}/nation.parquet").count()
+    finally:
+        spark.sql("DROP DATABASE listed CASCADE")

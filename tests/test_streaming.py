@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.streaming import jobs
 from tidemark.streaming.windows import windowed_stats
 
@@ -128,3 +129,61 @@ def test_backfill_of_unordered_files_loses_no_hour(spark, sf_dir, tmp_path):
         jobs.hourly_to_parquet(stream, out, str(tmp_path / f"progress{files}"), "ts", "value", ("event_type",))
         counts.append(spark.read.parquet(out).selectExpr("sum(events)", "count(*)").first())
     assert counts[0] == counts[1] and counts[0][0] > 0
+
+
+@pytest.mark.parametrize("runs", [1, 3, 8])
+def test_accumulated_windows_do_not_depend_on_runs(spark, sf_dir, tmp_path, runs):
+    """Events in any order and any number of runs: the same hours; none lost, none twice."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type", "value")
+    events = events.withColumn("ts", F.when(F.col("event_id") % 50 > 0, F.col("ts").cast("timestamp")))
+    src, sink, aside, progress = (str(tmp_path / x) for x in ("src", "sink", "aside", "progress"))
+    dealt = events.withColumn("part", F.pmod(F.xxhash64("event_id", F.lit(runs)), F.lit(runs)))
+    for run in range(runs):
+        dealt.where(F.col("part") == run).drop("part").coalesce(2).write.mode("append").parquet(src)
+        files = jobs.stream_files(spark, src, events.schema, "*.parquet", "parquet", max_files=1)
+        jobs.accumulate_windows(files, sink, aside, progress, "ts", "value", ("event_type",))
+    got = jobs.accumulated(spark, sink, ("event_type",))
+    want = windowed_stats(events.where("ts is not null"), "ts", "value", ["event_type"])
+    assert _rows_text(got) == _rows_text(want.select(*got.columns))
+    counted, late = got.agg(F.sum("events")).first()[0], spark.read.parquet(aside).count()
+    assert counted + late == events.count() and late == events.where("ts is null").count() > 0
+
+
+def test_rows_beyond_the_lateness_are_set_aside(spark, tmp_path):
+    src, sink, progress = _dirs(tmp_path)
+    aside = str(tmp_path / "aside")
+
+    def run(name, *rows):
+        _land(tmp_path, name, *rows)
+        jobs.accumulate_windows(jobs.stream_files(spark, src, SCHEMA), sink, aside, progress, "ts", "v", lateness="2 hours")
+
+    run("a.csv", (1, "2024-01-01 05:05:00", 1), (2, "2024-01-01 00:01:00", 1))
+    run("b.csv", (3, "2024-01-01 03:05:00", 5), (4, "2024-01-01 03:04:59", 7))
+    hours = {str(r["window_start"])[11:16]: r["total"] for r in jobs.accumulated(spark, sink).collect()}
+    assert hours == {"00:00": 1.0, "03:00": 5.0, "05:00": 1.0}
+    assert [r["id"] for r in spark.read.parquet(aside).collect()] == [4]
+
+
+@pytest.mark.parametrize("windows", [{"session_gap": "30 minutes"}, {"slide": "10 minutes"}])
+def test_open_windows_go_on_after_a_restart(spark, tmp_path, windows):
+    """State on disk: a window that one run leaves open is closed by a later one, as in a batch."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, session.RECOMMENDED_CONF[key])
+    try:
+        src, sink, progress = _dirs(tmp_path)
+        times = [("00:05", "00:20", "00:45"), ("01:10", "01:12", "03:00"), ("03:20", "09:00", "20:00")]
+        number = 0
+        for run, part in enumerate(times):
+            rows = [(number + i, f"2024-01-01 {t}:00", i + 1) for i, t in enumerate(part)]
+            number += len(rows)
+            _land(tmp_path, f"{run}.csv", *rows)
+            stream = jobs.stream_files(spark, src, SCHEMA).withColumn("k", F.lit("a"))
+            jobs.windows_to_parquet(stream, sink, progress, "ts", "v", ("k",), **windows)
+        got = spark.read.parquet(sink)
+        batch = spark.read.schema(SCHEMA).csv(src).withColumn("k", F.lit("a"))
+        whole = windowed_stats(batch, "ts", "v", ("k",), **windows)
+        want = whole.where(F.col("window_end") <= F.lit("2024-01-01 19:50:00").cast("timestamp"))
+        assert _rows_text(got) == _rows_text(want) and got.count() >= 3
+    finally:
+        spark.conf.set(key, before)

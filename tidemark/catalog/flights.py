@@ -6,13 +6,17 @@ from tidemark.plans import flights as f
 FIRST, LAST = "1997-01-01", "1999-06-30"
 CITIES = ("AMERICA", "EUROPE")
 RANGE = f"fecha BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
-CITY_SQL = """
-    SELECT t.*, CASE tipo_de_movimiento WHEN 'Aterrizaje' THEN b.provincia ELSE a.provincia END
-                    AS ciudad_origen,
-           CASE tipo_de_movimiento WHEN 'Despegue' THEN b.provincia ELSE a.provincia END
-                    AS ciudad_destino
-    FROM v_flights t JOIN v_airports a ON a.aeropuerto = t.aeropuerto
-         JOIN v_airports b ON b.aeropuerto = t.origen_destino"""
+# A landing comes from the other end and goes to the own airport, a take-off the other way.
+ENDS_SQL = """
+    SELECT t.*, start.provincia AS ciudad_origen, goal.provincia AS ciudad_destino
+    FROM (SELECT * FROM v_flights WHERE tipo_de_movimiento = '{kind}') t, v_airports start, v_airports goal
+    WHERE start.aeropuerto = t.{start} AND goal.aeropuerto = t.{goal}"""
+CITY_SQL = " UNION ALL ".join(
+    (
+        ENDS_SQL.format(kind="Aterrizaje", start="origen_destino", goal="aeropuerto"),
+        ENDS_SQL.format(kind="Despegue", start="aeropuerto", goal="origen_destino"),
+    )
+)
 
 
 def _flights(w):

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.plans import relational as r
 from tidemark.session import scratch_path
 from tidemark.sources.files import read_csv, write_parquet
-from tidemark.sources.tables import table_sizes
+from tidemark.sources.tables import catalog_columns, database_sizes, register_tables
 
 
 @query("import_table", "SELECT * FROM v_orders")
@@ -21,19 +23,35 @@ def _(w):
     return w.products.where(F.col("units_in_stock") > 20)
 
 
+# The names of the given tables.
+GIVEN = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
+    "lineitem", "nation", "orders", "pages", "part", "region", "supplier",
+)
+
+
+def _given_database(w) -> str:
+    """A database of the session's catalog that holds the given tables."""
+    database = f"given_{uuid.uuid4().hex}"
+    register_tables(w.spark, database, {n: f"{w.path}/{n}.parquet" for n in GIVEN})
+    return database
+
+
 @query(
     "list_source_tables",
-    """SELECT 'customer' AS table_name, count(*) AS rows FROM customer
-       UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-       UNION ALL SELECT 'nation', count(*) FROM nation
-       UNION ALL SELECT 'orders', count(*) FROM orders
-       UNION ALL SELECT 'part', count(*) FROM part
-       UNION ALL SELECT 'region', count(*) FROM region
-       UNION ALL SELECT 'supplier', count(*) FROM supplier""",
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in GIVEN),
+)
+def _(w):
+    return database_sizes(w.spark, _given_database(w))
+
+
+@query(
+    "list_source_columns",
+    f"""SELECT table_name, column_name, CAST(ordinal_position AS BIGINT) AS position
+        FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{n}'" for n in GIVEN)})""",
 )
 def _(w):
-    names = ["customer", "lineitem", "nation", "orders", "part", "region", "supplier"]
-    return table_sizes(**{n: w.raw(n) for n in names})
+    return catalog_columns(w.spark, _given_database(w)).drop("data_type")
 
 
 @query("customers_of_country", "SELECT * FROM v_customers WHERE country = 'NATION_7'")

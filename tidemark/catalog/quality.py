@@ -29,32 +29,52 @@ def _(w):
     return q.impute_group_mean(rows, "unit_price", "category_id")
 
 
+ORDER_COLUMNS = (
+    "order_id", "customer_id", "employee_id", "order_date", "required_date", "shipped_date",
+    "ship_via", "freight", "ship_country",
+)
+
+
 @query(
     "column_profile",
-    """SELECT 'order_id' AS column_name, count(*) AS rows, count(*) - count(order_id) AS nulls,
-              CAST(min(order_id) AS VARCHAR) AS least, CAST(max(order_id) AS VARCHAR) AS greatest
-       FROM v_orders
-       UNION ALL
-       SELECT 'shipped_date', count(*), count(*) - count(shipped_date),
-              CAST(min(shipped_date) AS VARCHAR), CAST(max(shipped_date) AS VARCHAR)
-       FROM v_orders
-       UNION ALL
-       SELECT 'ship_country', count(*), count(*) - count(ship_country), min(ship_country),
-              max(ship_country)
-       FROM v_orders""",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls,
+                   count(DISTINCT {c}) AS "distinct", CAST(min({c}) AS VARCHAR) AS least,
+                   CAST(max({c}) AS VARCHAR) AS greatest FROM v_orders"""
+        for c in ORDER_COLUMNS
+    ),
 )
 def _(w):
-    profile = q.column_profile(w.orders, ["order_id", "shipped_date", "ship_country"])
-    return profile.drop("approx_distinct")
+    profile = q.column_profile(w.orders, ORDER_COLUMNS).drop("approx_distinct")
+    return profile.join(q.distinct_counts(w.orders, ORDER_COLUMNS), "column_name")
+
+
+@query(
+    "distinct_estimates",
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, true AS within FROM v_orders HAVING count(*) > 0" for c in ORDER_COLUMNS),
+)
+def _(w):
+    """Whether the mergeable estimate is within four standard errors of the exact number."""
+    estimate = q.column_profile(w.orders, ORDER_COLUMNS).select("column_name", "approx_distinct")
+    exact = q.distinct_counts(w.orders, ORDER_COLUMNS)
+    off = F.abs(F.col("approx_distinct") - F.col("distinct"))
+    within = off <= F.greatest(F.lit(1.0), 4 * F.lit(0.05) * F.col("distinct"))
+    return estimate.join(exact, "column_name").select("column_name", within.alias("within"))
 
 
 @query(
     "duplicate_columns",
-    """SELECT 'customer_id' AS first, 'buyer_id' AS second FROM v_orders
-       HAVING bool_and(customer_id = customer_id)""",
+    """SELECT 'customer_id' AS first, 'buyer_id' AS second
+       FROM v_orders o JOIN v_customers c ON c.customer_id = o.customer_id
+       HAVING count(*) FILTER (WHERE o.customer_id IS DISTINCT FROM c.customer_id) = 0
+       UNION ALL
+       SELECT 'order_date', 'required_date' FROM v_orders o JOIN v_customers c ON c.customer_id = o.customer_id
+       HAVING count(*) FILTER (WHERE order_date IS DISTINCT FROM required_date) = 0""",
 )
 def _(w):
-    return q.duplicate_columns(w.orders.withColumn("buyer_id", F.col("customer_id")))
+    """The customer of an order and the key of the row it is joined to, from two tables."""
+    buyers = w.customers.select(F.col("customer_id").alias("buyer_id"))
+    return q.duplicate_columns(w.orders.join(buyers, F.col("customer_id") == F.col("buyer_id")))
 
 
 def _order_rules():

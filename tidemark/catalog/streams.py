@@ -52,6 +52,39 @@ def _(w):
     return _plain_times(w.spark.read.parquet(sink))
 
 
+@query("hourly_accumulated_stream", HOURLY)
+def _(w):
+    """Events in several files, taken one file at a time and in no order of time: every hour is
+    whole, as its partial sums are merged."""
+    source, sink, aside, checkpoint = (
+        scratch_path(w.spark, f"accumulated-{x}") for x in ("source", "sink", "aside", "progress")
+    )
+    w.events.repartition(4, "event_id").write.parquet(source)
+    files = jobs.stream_files(w.spark, source, w.events.schema, "*.parquet", "parquet", max_files=1)
+    jobs.accumulate_windows(_timed(files), sink, aside, checkpoint, "ts", "value", ("event_type",))
+    return _plain_times(jobs.accumulated(w.spark, sink, ("event_type",)))
+
+
+SLIDING = f"""SELECT b + n * INTERVAL 10 MINUTE AS window_start,
+                      b + n * INTERVAL 10 MINUTE + INTERVAL 1 HOUR AS window_end, {STATS}
+               FROM (SELECT *, time_bucket(INTERVAL 10 MINUTE, ts, TIMESTAMP '1970-01-01') AS b
+                     FROM events),
+                    (SELECT -generate_series AS n FROM generate_series(0, 5))
+               GROUP BY ALL"""
+CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+
+
+def _closed_windows(w, name, keys, **windows):
+    sink, checkpoint = (scratch_path(w.spark, f"{name}-{x}") for x in ("sink", "progress"))
+    jobs.windows_to_parquet(_timed(_stream(w, "events")), sink, checkpoint, "ts", "value", keys, **windows)
+    return _plain_times(w.spark.read.parquet(sink))
+
+
+@query("sliding_event_stream", f"SELECT * FROM ({SLIDING}) WHERE {CLOSED}")
+def _(w):
+    return _closed_windows(w, "sliding", (), slide="10 minutes")
+
+
 @query(
     "sliding_event_stats",
     f"""SELECT b + n * INTERVAL 10 MINUTE AS window_start,
@@ -65,6 +98,18 @@ def _(w):
     return _plain_times(windowed_stats(w.events, "ts", "value", (), "1 hour", "10 minutes"))
 
 
+SESSIONS = f"""SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, user_id, {STATS}
+    FROM (SELECT *, count(*) FILTER (WHERE gap) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session
+          FROM (SELECT *, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE AS gap
+                FROM events))
+    GROUP BY user_id, session"""
+
+
+@query("session_event_stream", f"SELECT * FROM ({SESSIONS}) WHERE {CLOSED}")
+def _(w):
+    return _closed_windows(w, "sessions", ("user_id",), session_gap="30 minutes")
+
+
 @query(
     "session_event_stats",
     f"""SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, user_id,

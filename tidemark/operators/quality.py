@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,26 +65,61 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return one.select(F.inline(per_column))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, distinct) exactly, nulls apart. Rows are turned into pairs of column and
+    value, of which each task keeps one before the shuffle, so no value is a hot key."""
+    names = list(columns or df.columns)
+    pairs = F.array(
+        *(F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").cast("string").alias("value")) for n in names)
+    )
+    values = df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.lit(1).alias("_one"))
+    found = values.groupBy("column_name").agg(F.count("value").alias("distinct"))
+    every = df.sparkSession.createDataFrame([(n,) for n in names], "column_name string")
+    return every.join(found, "column_name", "left").select(
+        "column_name", F.coalesce("distinct", F.lit(0)).alias("distinct")
+    )
+
+
 def duplicate_columns(df: DataFrame) -> DataFrame:
-    """Pairs of columns of one type that agree in every row (one pass over the rows)."""
-    pairs = [
-        (a.name, b.name)
-        for a, b in combinations(df.schema.fields, 2)
-        if a.dataType == b.dataType
+    """Pairs of columns of one type that agree in every row.
+
+    One pass gives each column a digest, the sum of hashes of its value and its row, which does
+    not depend on the order of rows. Only columns of equal digest are compared, each with the
+    first of its kind, so the work grows with the columns and not with their pairs."""
+    fields = df.schema.fields
+    nothing = df.sparkSession.createDataFrame([], "first string, second string")
+    # Columns without a hash (maps) take part by their text.
+    def value(f):
+        return F.col(f"`{f.name}`").cast("string") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+
+    row = F.xxhash64(*(x for f in fields for x in (value(f), value(f).isNull())))
+    digest = [
+        F.sum(F.xxhash64("_row", value(f), value(f).isNull()).cast("decimal(20,0)")).alias(f"d{i}")
+        for i, f in enumerate(fields)
     ]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "first string, second string")
-    agree = [
-        F.bool_and(F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).alias(f"p{i}")
-        for i, (a, b) in enumerate(pairs)
-    ]
-    rows = F.array(
-        *[
-            F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.col(f"p{i}").alias("eq"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+    got = df.withColumn("_row", row).agg(*digest).first() if fields else None
+    if got is None:
+        return nothing
+    alike: dict[tuple, list[str]] = {}
+    for i, f in enumerate(fields):
+        alike.setdefault((f.dataType.simpleString(), got[f"d{i}"]), []).append(f.name)
+    groups = [names for names in alike.values() if len(names) > 1]
+    if not groups:
+        return nothing
+    second = [(names[0], other) for names in groups for other in names[1:]]
+    sure = df.agg(
+        *[F.bool_and(F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).alias(f"p{i}") for i, (a, b) in enumerate(second)]
+    )
+    equal = F.array(
+        *[F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.col(f"p{i}").alias("eq")) for i, (a, b) in enumerate(second)]
     )
-    return df.agg(*agree).select(F.inline(rows)).where("eq").drop("eq")
+    to_first = sure.select(F.inline(equal)).where(F.coalesce("eq", F.lit(True))).drop("eq")
+    # Columns that agree with the same first one agree with each other.
+    order = {f.name: i for i, f in enumerate(fields)}
+    place = F.create_map(*(x for n, i in order.items() for x in (F.lit(n), F.lit(i))))
+    x, y = to_first.select("first", F.col("second").alias("a")), to_first.select("first", F.col("second").alias("b"))
+    between = x.join(y, "first").where(F.element_at(place, F.col("a")) < F.element_at(place, F.col("b")))
+    return to_first.unionByName(between.select(F.col("a").alias("first"), F.col("b").alias("second")))
 
 
 def validate(

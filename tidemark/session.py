@@ -16,6 +16,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Streaming sessions: merge within each task before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # State of open windows on disk instead of the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

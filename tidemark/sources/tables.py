@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,6 +116,34 @@ def list_databases(spark: SparkSession) -> list[str]:
     return sorted(d.name for d in spark.catalog.listDatabases())
 
 
+def register_tables(spark: SparkSession, database: str, paths: Mapping[str, str]) -> None:
+    """Tables of a database over parquet data where it lies; nothing is copied."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, path in paths.items():
+        spark.catalog.createTable(f"`{database}`.`{name}`", path, "parquet")
+
+
+def database_tables(spark: SparkSession, database: str) -> list[str]:
+    """Tables of a database, without the temporary views the session lists with them."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
+def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, column_name, position, data_type) of all tables of a database, as the catalog
+    has them; positions count from 1."""
+    rows = [
+        (table, column.name, place, column.dataType)
+        for table in database_tables(spark, database)
+        for place, column in enumerate(spark.catalog.listColumns(f"`{database}`.`{table}`"), 1)
+    ]
+    return spark.createDataFrame(rows, "table_name string, column_name string, position bigint, data_type string")
+
+
+def database_sizes(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, rows) of every table the catalog lists in a database."""
+    return table_sizes(**{t: spark.table(f"`{database}`.`{t}`") for t in database_tables(spark, database)})
+
+
 def table_sizes(**frames: DataFrame) -> DataFrame:
     """(table_name, rows) of named frames. Parquet answers from its footers."""
     counts = [

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.streaming.windows import WATERMARK, windowed_stats
+from tidemark.streaming.windows import WATERMARK, merged_stats, partial_stats, windowed_stats
 
 LANDING_MODES = ("append", "replace", "fail")
 
@@ -110,17 +110,21 @@ def _refuse_known(batch: DataFrame, sink: str, batch_id: int) -> None:
         raise FileExistsError(f"{first[0]} has already been landed")
 
 
-def hourly_to_parquet(
+def windows_to_parquet(
     events: DataFrame,
     sink: str,
     checkpoint: str,
     ts: str,
     value: str,
     keys: tuple[str, ...] = (),
+    size: str = "1 hour",
+    slide: str | None = None,
+    session_gap: str | None = None,
     watermark: str = WATERMARK,
 ) -> None:
-    """Accumulate a stream per hour and append closed hours to a parquet directory."""
-    stats = windowed_stats(events, ts, value, keys, "1 hour", watermark=watermark)
+    """Accumulate a stream per window (tumbling, sliding or session) and append closed ones to a
+    parquet directory. Open windows are state: a later run takes them up from the checkpoint."""
+    stats = windowed_stats(events, ts, value, keys, size, slide, session_gap, watermark)
     (
         stats.writeStream.format("parquet")
         .option("path", sink)
@@ -132,6 +136,65 @@ def hourly_to_parquet(
     )
 
 
+def hourly_to_parquet(
+    events: DataFrame,
+    sink: str,
+    checkpoint: str,
+    ts: str,
+    value: str,
+    keys: tuple[str, ...] = (),
+    watermark: str = WATERMARK,
+) -> None:
+    """Closed hours of a stream."""
+    windows_to_parquet(events, sink, checkpoint, ts, value, keys, watermark=watermark)
+
+
+def accumulate_windows(
+    events: DataFrame,
+    sink: str,
+    aside: str,
+    checkpoint: str,
+    ts: str,
+    value: str,
+    keys: tuple[str, ...] = (),
+    size: str = "1 hour",
+    lateness: str | None = None,
+) -> None:
+    """Partial sums per window and batch in ``sink``, for ``accumulated`` to merge, however late
+    the rows of a window come. Rows without a time, and with ``lateness`` those further behind
+    the newest of earlier batches, go to ``aside`` instead; no row is lost. A repeated batch
+    replaces what it wrote."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, part = batch.sparkSession, f"batch_id={batch_id}"
+        fine = F.col(ts).isNotNull()
+        if lateness is not None and _exists(spark, sink):
+            before = spark.read.parquet(sink).where(F.col("batch_id") < batch_id)
+            newest = before.agg(F.max("last")).first()[0]
+            if newest is not None:
+                fine = fine & (F.col(ts) >= F.lit(newest) - F.expr(f"interval '{lateness}'"))
+        batch.persist()
+        try:
+            batch.where(~fine).write.mode("overwrite").parquet(f"{aside}/{part}")
+            sums = partial_stats(batch.where(fine), ts, value, keys, size)
+            sums.write.mode("overwrite").parquet(f"{sink}/{part}")
+        finally:
+            batch.unpersist()
+
+    (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def accumulated(spark: SparkSession, sink: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Windows so far, of all batches."""
+    return merged_stats(spark.read.parquet(sink), keys)
+
+
 def append_events(
     events: DataFrame,
     sink: str,

@@ -26,7 +26,8 @@ def windowed_stats(
 
     Tumbling by default, sliding with ``slide``, sessions with ``session_gap``. On a
     stream, rows later than the watermark are dropped and, in append mode, a window
-    is emitted once the watermark has passed its end. Values are summed as exact
+    is emitted once the watermark has passed its end; sessions of a stream need a key.
+    ``jobs.accumulate_windows`` drops no late row. Values are summed as exact
     two-digit amounts, so the arrival order does not matter.
     """
     if session_gap is not None and not df.isStreaming:
@@ -38,6 +39,17 @@ def windowed_stats(
     return _finished(stats, F.col("w.start"), F.col("w.end"), keys)
 
 
+def partial_stats(df: DataFrame, ts: str, value: str, keys: Sequence[str], size: str) -> DataFrame:
+    """Sums of a window that can be merged with later ones, and the newest time in them."""
+    return df.groupBy(F.window(ts, size).alias("w"), *keys).agg(*_partial(value), F.max(ts).alias("last"))
+
+
+def merged_stats(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Windows of partial sums of any number of batches."""
+    sums = partials.groupBy("w", *keys).agg(*(F.sum(c).alias(c) for c in ("events", "_total", "_n")))
+    return _finished(sums, F.col("w.start"), F.col("w.end"), keys)
+
+
 def _partial(value: str) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("events"),
