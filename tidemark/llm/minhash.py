@@ -405,7 +405,7 @@ def _block_links(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.Dat
 def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
     """``band, key, id, label, main, outer, inner``: members of bands that hold several components,
     whether a member is in the component that has most of the band, and the number of blocks that
-    the others and its members are dealt into."""
+    the others and its members are dealt into. A band that fits one block is one."""
     labelled = members.join(roots, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("label"))
     labelled = written(labelled, "band-labels")
     blocks = lambda n: F.ceil(n / BLOCK).cast("long")
@@ -416,12 +416,13 @@ def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("m"))
         .where("m > top.c")
         .select(
-            "band", "key", F.col("top.label").alias("most"),
-            blocks(F.col("m") - F.col("top.c")).alias("outer"), blocks(F.col("top.c")).alias("inner"),
+            "band", "key", F.when(F.col("m") > BLOCK, F.col("top.label")).alias("most"),
+            F.when(F.col("m") > BLOCK, blocks(F.col("m") - F.col("top.c"))).otherwise(1).alias("outer"),
+            F.when(F.col("m") > BLOCK, blocks(F.col("top.c"))).otherwise(0).alias("inner"),
         )
     )
     found = labelled.join(written(several, "several-components"), ["band", "key"])
-    return found.withColumn("main", F.col("label") == F.col("most")).drop("most")
+    return found.withColumn("main", F.coalesce(F.col("label") == F.col("most"), F.lit(False))).drop("most")
 
 
 def _dealt(open_: DataFrame, classes: DataFrame) -> DataFrame:
