@@ -4,10 +4,12 @@ Lengths are words plus one end mark. A document longer than the largest capacity
 pieces of that capacity and a rest, so nothing is truncated. Pieces are dealt at random into
 groups of about ``GROUP_ITEMS`` and each group is packed on its own, longest first: a piece
 goes into the open bin it leaves fullest; if none has room, a bin is opened of the capacity with
-the least cost per token expected in it (its length plus a fixed cost per sequence, over what
-the rest of the group can still fill). At the end every bin shrinks to the smallest capacity
-that holds its contents. The waste of cutting the work into groups is one unfilled bin or so
-a group, whatever the table's size.
+the least cost per token expected in it: its length plus a fixed cost per sequence, over the
+tokens that the pieces still to come would put into it. Pieces that two bins count on come to
+one only, so this plan of all capacities is held against plans that open one capacity wherever
+it holds the piece; at the end every bin shrinks to the smallest capacity that holds its
+contents, and the plan of least cost stays. The waste of cutting the work into groups is one
+unfilled bin or so a group, whatever the table's size.
 
 Defined cases: a null or empty text has length 1 (its end mark); rows that repeat an id are
 packed each; ties in length go by id, then piece; an empty table gives no bins. Other
@@ -29,30 +31,57 @@ SEQUENCE_COST = 64
 GROUP_ITEMS = 20_000
 
 
-def best_fit(lengths: Sequence[int], capacities: Sequence[int], sequence_cost: int):
-    """Bin, offset in the bin and final capacity of each length; lengths must not rise and
-    none may exceed the largest capacity."""
-    capacities = sorted(capacities)
-    rest = sum(lengths)
-    bins, opened, used, room = [], [], [], []  # room: (free, bin) of open bins, sorted
-    offsets = []
-    for length in lengths:
+def _fill(falling: Sequence[int], after: int, space: int) -> int:
+    """Tokens that the lengths behind ``after`` put into ``space``, longest first. ``falling``
+    holds lengths as negative numbers, longest first."""
+    free, at = space, after + 1
+    while free and (at := bisect_left(falling, -free, at)) < len(falling):
+        free += falling[at]
+        at += 1
+    return space - free
+
+
+def _placed(lengths: Sequence[int], opening) -> tuple[list, list, list]:
+    """Bin and offset of each length and the tokens of each bin: a length goes where it leaves
+    the least room, or into a new bin of capacity ``opening(index)``."""
+    bins, offsets, used, room = [], [], [], []  # room: (free, bin) of open bins, sorted
+    for i, length in enumerate(lengths):
         at = bisect_left(room, (length, -1))
         if at < len(room):
             free, b = room.pop(at)
         else:
-            fits = capacities[bisect_left(capacities, length) :]
-            free = min(fits, key=lambda c: ((c + sequence_cost) / min(c, rest), c))
-            b = len(opened)
-            opened.append(free)
+            free, b = opening(i), len(used)
             used.append(0)
         bins.append(b)
         offsets.append(used[b])
         used[b] += length
-        rest -= length
         if free > length:
             insort(room, (free - length, b))
-    final = [capacities[bisect_left(capacities, u)] for u in used]
+    return bins, offsets, used
+
+
+def best_fit(lengths: Sequence[int], capacities: Sequence[int], sequence_cost: int):
+    """Bin, offset in the bin and final capacity of each length, and its bin's tokens; lengths
+    must not rise and none may exceed the largest capacity."""
+    capacities = sorted(capacities)
+    falling = [-n for n in lengths]
+
+    def holding(tokens):
+        return bisect_left(capacities, tokens)
+
+    def by_cost(i):
+        fits = capacities[holding(lengths[i]) :]
+        return min(fits, key=lambda c: ((c + sequence_cost) / (lengths[i] + _fill(falling, i, c - lengths[i])), c))
+
+    def at_least(size):
+        return lambda i: max(size, capacities[holding(lengths[i])])
+
+    def cost(plan):
+        return sum(capacities[holding(u)] + sequence_cost for u in plan[2])
+
+    plans = (_placed(lengths, opening) for opening in (by_cost, *map(at_least, capacities)))
+    bins, offsets, used = min(plans, key=cost)
+    final = [capacities[holding(u)] for u in used]
     return bins, offsets, [final[b] for b in bins], [used[b] for b in bins]
 
 
