@@ -18,6 +18,7 @@ each; texts are scanned whole, however long. Only the named columns of the input
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -58,33 +59,67 @@ HARMLESS = r"(?i)example|placeholder|changeme|x{6,}"
 _SPANS = "array<struct<start:bigint,rank:int,stop:bigint,kind:string>>"
 
 
+def _bound(value: Column, build) -> Column:
+    """``build(value)`` with ``value`` worked out once, however often and in whatever inner
+    function ``build`` uses it."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
+def _before(values: Column, merge) -> Column:
+    """What ``merge``, from 0, makes of all values before each one of an array. Blocks of the
+    root of its length are folded first, so that no append copies more than such a block."""
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<bigint>")
+
+    def fold(block):
+        state = F.struct(zero.alias("at"), none.alias("out"))
+        return F.aggregate(
+            block,
+            state,
+            lambda acc, v: F.struct(
+                merge(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+            ),
+        )
+
+    def blocks(all_):
+        width = F.greatest(F.ceil(F.sqrt(F.size(all_))), F.lit(1)).cast("int")
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), width)
+        return F.transform(firsts, lambda i: fold(F.slice(all_, i, width)))
+
+    state = F.struct(zero.alias("at"), F.array().cast("array<array<bigint>>").alias("out"))
+    joined = F.aggregate(
+        _bound(values, blocks),
+        state,
+        lambda acc, block: F.struct(
+            merge(acc["at"], block["at"]).alias("at"),
+            F.concat(
+                acc["out"], F.array(F.transform(block["out"], lambda v: merge(acc["at"], v)))
+            ).alias("out"),
+        ),
+        lambda acc: acc["out"],
+    )
+    return F.flatten(joined)
+
+
 def _located(text: Column, pattern: str, build) -> Column:
-    """``build(match, start)`` for every leftmost non-overlapping match, in order."""
+    """``build`` of the leftmost non-overlapping matches (``m``, ``start``), in order."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     pairs = F.zip_with(
         found,
-        between,
-        lambda m, gap: F.struct(F.coalesce(m, F.lit("")).alias("m"), F.length(gap).cast("long").alias("gap")),
-    )
-    state = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.lit(None).cast("array<struct<m:string,start:bigint>>").alias("out"),
+        F.slice(between, F.lit(1), F.size(between) - 1),
+        lambda m, gap: F.struct(m.alias("m"), F.length(gap).cast("long").alias("gap")),
     )
 
-    def step(acc, pair):
-        start = acc["at"] + pair["gap"]
-        one = F.array(F.struct(pair["m"].alias("m"), start.alias("start")))
-        return F.struct(
-            (start + F.length(pair["m"])).alias("at"),
-            F.when(pair["m"] == "", acc["out"])
-            .otherwise(F.coalesce(F.concat(acc["out"], one), one))
-            .alias("out"),
+    def spots(all_):
+        begun = _before(
+            F.transform(all_, lambda p: p["gap"] + F.length(p["m"])), lambda at, v: at + v
+        )
+        return F.zip_with(
+            all_, begun, lambda p, at: F.struct(p["m"].alias("m"), (at + p["gap"]).alias("start"))
         )
 
-    spots = F.aggregate(pairs, state, step, lambda acc: acc["out"])
     none = F.array().cast("array<struct<m:string,start:bigint>>")
-    return F.when(text.rlike(pattern), F.coalesce(build(spots), build(none))).otherwise(build(none))
+    return _bound(F.when(text.rlike(pattern), _bound(pairs, spots)).otherwise(none), build)
 
 
 def _span(kind: str, start: Column, stop: Column) -> Column:
@@ -121,54 +156,69 @@ def base_spans(text: Column) -> Column:
 
 def hot_windows(value: Column, rule: EntropyRule) -> Column:
     """``struct<first, last>``: where the first and the last window of ``value`` start that
-    reach ``rule.bits``; null fields when none does. ASCII only."""
-    term = lambda c: F.when(c > 0, c * F.log2(c)).otherwise(F.lit(0.0))
-    chars = F.transform(F.split(value, ""), lambda c: F.ascii(c))
-    steps = F.transform(
-        chars,
-        lambda c, i: F.struct(
-            c.alias("new"),
-            F.when(i >= rule.window, F.get(chars, i - rule.window)).otherwise(F.lit(-1)).alias("old"),
-            i.alias("i"),
-        ),
-    )
+    reach ``rule.bits``; null fields when none does. ASCII only, windows of at most 127."""
+    terms = F.array(*(F.lit(c * log2(c) if c else 0.0) for c in range(rule.window + 2)))
+    none = F.lit(None).cast("int")
+
+    # Counts lie in one byte each, eight to a number.
+    def place(c):
+        code = F.ascii(c)
+        byte = code.bitwiseAND(7) * 8
+        return F.struct(
+            F.shiftright(code, 3).alias("slot"),
+            byte.alias("byte"),
+            F.call_function("shiftleft", F.lit(1).cast("long"), byte).alias("unit"),
+        )
+
+    def steps(places):
+        nowhere = F.lit(None).cast("struct<slot:int,byte:int,unit:bigint>")
+        gone = F.concat(F.array_repeat(nowhere, rule.window), places)
+        return F.zip_with(
+            places,
+            F.slice(gone, F.lit(1), F.size(places)),
+            lambda new, old: F.struct(new.alias("new"), old.alias("old")),
+        )
+
     state = F.struct(
-        F.array_repeat(F.lit(0.0), 128).alias("counts"),
+        F.array_repeat(F.lit(0).cast("long"), 16).alias("counts"),
         F.lit(0.0).alias("total"),
-        F.lit(None).cast("int").alias("first"),
-        F.lit(None).cast("int").alias("last"),
+        F.lit(0).alias("seen"),
+        none.alias("first"),
+        none.alias("last"),
     )
 
+    def judged(acc):
+        """First and last with the window that ends here."""
+        begin = acc["seen"] - rule.window
+        # The margin is for rounding of the running sum.
+        hot = (begin >= 0) & (acc["total"] <= rule.window * (log2(rule.window) - rule.bits + 1e-9))
+        first = F.when(acc["first"].isNull() & hot, begin).otherwise(acc["first"])
+        return first.alias("first"), F.when(hot, begin).otherwise(acc["last"]).alias("last")
+
+    def count(acc, p):
+        word = F.get(acc["counts"], p["slot"])
+        return F.call_function("shiftright", word, p["byte"]).bitwiseAND(127).cast("int")
+
     def slide(acc, s):
-        got = F.get(acc["counts"], s["new"])
+        new, old = s["new"], s["old"]
+        came = F.get(terms, count(acc, new) + 1) - F.get(terms, count(acc, new))
+        left = F.get(terms, count(acc, old) - 1) - F.get(terms, count(acc, old))
         # The old character leaves after the new one has come; equal ones cancel out.
-        left = F.when(s["old"] < 0, F.lit(0.0)).otherwise(F.get(acc["counts"], s["old"]))
-        change = F.when(s["old"] == s["new"], F.lit(0.0)).otherwise(
-            term(got + 1) - term(got)
-            + F.when(s["old"] >= 0, term(left - 1) - term(left)).otherwise(F.lit(0.0))
-        )
-        total = acc["total"] + change
-        entropy = F.lit(rule.window).cast("double")
-        entropy = F.log2(entropy) - total / rule.window
-        begin = s["i"] - (rule.window - 1)
-        # The margin is for rounding of the running sum.
-        hot = (begin >= 0) & (entropy >= rule.bits - 1e-9)
+        change = F.when(old.isNull(), came).when(old == new, F.lit(0.0)).otherwise(came + left)
+        counts = F.transform(
+            acc["counts"],
+            lambda word, k: F.when(k == new["slot"], word + new["unit"]).otherwise(word)
+            - F.when(k == old["slot"], old["unit"]).otherwise(F.lit(0).cast("long")),
+        )
         return F.struct(
-            F.transform(
-                acc["counts"],
-                lambda c, k: c
-                + F.when(k == s["new"], 1.0).otherwise(0.0)
-                - F.when(k == s["old"], 1.0).otherwise(0.0),
-            ).alias("counts"),
-            total.alias("total"),
-            F.when(hot & acc["first"].isNull(), begin).otherwise(acc["first"]).alias("first"),
-            F.when(hot, begin).otherwise(acc["last"]).alias("last"),
+            F.when(old.isNotNull() & (old == new), acc["counts"]).otherwise(counts).alias("counts"),
+            (acc["total"] + change).alias("total"),
+            (acc["seen"] + 1).alias("seen"),
+            *judged(acc),
         )
 
-    return F.aggregate(
-        steps, state, slide,
-        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")),
-    )
+    places = F.transform(F.split(value, ""), place)
+    return F.aggregate(_bound(places, steps), state, slide, lambda acc: F.struct(*judged(acc)))
 
 
 def _hot(spots: Column, name: str, rule: EntropyRule) -> Column:
@@ -186,23 +236,32 @@ def _hot(spots: Column, name: str, rule: EntropyRule) -> Column:
     )
 
 
+def _rewritten(text: Column, spans: Column, mark) -> Column:
+    """``text`` with ``mark(span, at)`` for all characters in ``spans``, which are sorted by
+    start; ``at`` is where the spans before end."""
+
+    def build(chars):
+        part = lambda at, n: F.array_join(
+            F.slice(chars, (at + 1).cast("int"), F.greatest(n, F.lit(0)).cast("int")), ""
+        )
+        ends = _before(F.transform(spans, lambda s: s["stop"]), F.greatest)
+        pieces = F.zip_with(
+            spans, ends, lambda s, at: F.concat(part(at, s["start"] - at), mark(s, at))
+        )
+        done = F.array_max(F.transform(spans, lambda s: s["stop"]))
+        return F.array_join(F.concat(pieces, F.array(part(done, F.size(chars) - done))), "")
+
+    return F.when(F.size(spans) > 0, _bound(F.split(text, ""), build)).otherwise(text)
+
+
 def blanked(text: Column, spans: Column) -> Column:
     """``text`` with blanks for all characters in ``spans``, which are sorted by start."""
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
-    def step(acc, s):
-        start = F.greatest(acc["at"], s["start"])
-        stop = F.greatest(acc["at"], s["stop"])
-        gap = text.substr(acc["at"] + 1, start - acc["at"])
-        return F.struct(
-            stop.alias("at"),
-            F.concat(acc["out"], gap, F.repeat(F.lit(" "), (stop - start).cast("int"))).alias("out"),
-        )
+    def mark(s, at):
+        fresh = F.greatest(s["stop"], at) - F.greatest(s["start"], at)
+        return F.repeat(F.lit(" "), fresh.cast("int"))
 
-    done = F.aggregate(
-        spans, state, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text).cast("long")))
-    )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return _rewritten(text, spans, mark)
 
 
 def harmless_spans(text: Column) -> Column:
@@ -242,22 +301,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by ``[kind]``; overlapping spans give one mark."""
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        gap = text.substr(acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["stop"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], gap, F.lit("["), s["kind"], F.lit("]")))
-            .otherwise(acc["out"])
-            .alias("out"),
-        )
+    def mark(s, at):
+        return F.when(s["start"] >= at, F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise("")
 
-    done = F.aggregate(
-        spans, state, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text).cast("long")))
-    )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return _rewritten(text, spans, mark)
 
 
 def listed(spans: Column) -> Column:
