@@ -103,11 +103,15 @@ def entropy(window):
     return -sum(c / len(window) * math.log2(c / len(window)) for c in Counter(window).values())
 
 
-def all_spans(text, rules, allowed, kinds):
+def all_spans(text, rules, allowed, harmless, kinds):
+    """Candidates are looked for in what fixed patterns and harmless words leave."""
     base = base_spans(text)
     found = [(a, kinds.index(k), b) for a, k, b in base]
-    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
-        if re.search(allowed, m[0]) or any(a < m.end() and m.start() < b for a, _, b in base):
+    rest = list(text)
+    for a, b in [(a, b) for a, _, b in base] + [m.span() for m in re.finditer(harmless, text, re.A)]:
+        rest[a:b] = " " * (b - a)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", "".join(rest)):
+        if re.search(allowed, m[0]):
             continue
         name = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", m[0]) else "base64"
         rule = rules[name]
@@ -121,6 +125,24 @@ def all_spans(text, rules, allowed, kinds):
     return [(a, kinds[k], b) for a, k, b in sorted(found)]
 
 
+def least_cost(lengths, capacities, sequence_cost):
+    """Cost of the best packing, by trying every bin for every length."""
+    best = [float("inf")]
+
+    def go(i, bins):
+        if i == len(lengths):
+            cost = sum(min(c for c in capacities if c >= u) + sequence_cost for u in bins)
+            best[0] = min(best[0], cost)
+            return
+        for b in range(len(bins)):
+            if bins[b] + lengths[i] <= max(capacities):
+                go(i + 1, bins[:b] + [bins[b] + lengths[i]] + bins[b + 1 :])
+        go(i + 1, bins + [lengths[i]])
+
+    go(0, [])
+    return best[0]
+
+
 def listed(spans):
     return ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
 

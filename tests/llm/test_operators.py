@@ -146,12 +146,31 @@ def test_packing(spark, docs, texts):
 
 
 def test_best_fit_takes_the_fullest_bin():
-    bins, offsets, sizes, used = packing.best_fit([60, 50, 30, 10, 4], [64, 128], 0)
-    room = Counter()
-    for b, n in zip(bins, [60, 50, 30, 10, 4]):
-        room[b] += n
-    assert sorted(room.values()) == sorted(set(zip(bins, used)) and [room[b] for b in room])
-    assert all(s in (64, 128) and u <= s for s, u in zip(sizes, used))
+    # 30 fits beside 60 and beside 50; it goes where less room is left.
+    bins, offsets, sizes, used = packing.best_fit([60, 50, 30, 10, 4], [100], 0)
+    assert bins == [0, 1, 0, 0, 1] and offsets == [0, 0, 60, 90, 50]
+    assert sizes == [100] * 5 and used == [100, 54, 100, 100, 54]
+
+
+def test_best_fit_chooses_sizes_jointly():
+    def cost(packed, extra):
+        bins, _, sizes, _ = packed
+        return sum(c + extra for _, c in set(zip(bins, sizes)))
+
+    rng = random.Random(11)
+    capacities, found, best, one_size = (8, 16, 32), 0, 0, 0
+    for _ in range(60):
+        lengths = sorted((rng.randint(1, 32) for _ in range(rng.randint(1, 7))), reverse=True)
+        mine = cost(packing.best_fit(lengths, capacities, 2), 2)
+        least = brute.least_cost(lengths, capacities, 2)
+        single = packing._placed(lengths, lambda i: 32)[2]
+        single = sum(min(c for c in capacities if c >= u) + 2 for u in single)
+        assert least <= mine <= single
+        found, best, one_size = found + mine, best + least, one_size + single
+    assert found <= 1.03 * best and found < one_size
+    # Small sizes are opened where they fit, not only left by shrinking.
+    assert cost(packing.best_fit([16] * 8, capacities, 0), 0) == 128
+    assert packing.best_fit([], capacities, 0) == ([], [], [], [])
 
 
 def test_embeddings(spark):
@@ -337,7 +356,7 @@ def test_secrets(spark, docs, texts):
     extra = 0
     for r in found.select("doc_id", "text", secrets.listed(F.col("_base")).alias("b"), secrets.listed(F.col("_spans")).alias("s"), "masked").collect():
         text = r["text"] or ""
-        want = brute.all_spans(text, secrets.RULES, secrets.ALLOWED, list(secrets.KINDS))
+        want = brute.all_spans(text, secrets.RULES, secrets.ALLOWED, secrets.HARMLESS, list(secrets.KINDS))
         assert r["b"] == brute.listed(brute.base_spans(text))
         assert r["s"] == brute.listed(want)
         extra += sum(k.startswith("entropy") for _, k, _ in want)
@@ -389,3 +408,22 @@ def test_open_band_of_a_large_group_costs_its_members(spark):
     assert minhash._dealt(minhash._open_bands(few, roots), classes).count() == few.count()
     pairs = size * strangers + strangers * (strangers - 1) // 2
     assert met.count() == pairs and met.where("count > 1").isEmpty()
+
+
+def test_secrets_in_very_long_candidates_and_texts(spark):
+    rng = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    run = "".join(rng.choice(letters) for _ in range(300_000))
+    many = "é token=abcdefghij \U0001f600 " * 30_000
+    mixed = " ".join(
+        rng.choice(["word", "0f" * 12, "A1b2" * 6, "aaaaab" * 5, "EXAMPLE-" + run[i : i + 30], "é" * 3, run[i : i + 25] + "="])
+        for i in range(300)
+    )
+    docs = spark.createDataFrame([(0, run), (1, many), (2, mixed)], "doc_id long, text string")
+    found = secrets.scan(docs).withColumn("masked", secrets.redact(F.col("_text"), F.col("_spans")))
+    got = {r["doc_id"]: r for r in found.collect()}
+    for i, text in enumerate((run, many, mixed)):
+        want = brute.all_spans(text, secrets.RULES, secrets.ALLOWED, secrets.HARMLESS, list(secrets.KINDS))
+        assert [(s["start"], s["kind"], s["stop"]) for s in got[i]["_spans"]] == want, i
+    assert got[0]["masked"] == "[entropy_base64]"
+    assert got[1]["masked"] == "é [assign] \U0001f600 " * 30_000
