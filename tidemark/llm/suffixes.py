@@ -262,9 +262,9 @@ def repeated_starts(docs: DataFrame, rule: Depth = Depth()) -> tuple[DataFrame,
     twice = written(
         found.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"), "repeated-anchors"
     )
-    found = written(found.join(twice, "gram"), "anchored-runs")
+    found = written(found.join(twice, "gram"), "anchored-runs", "zstd")
     rows = found.select("row").distinct().hint("shuffle_hash")
-    texts = written(docs.select("row", "text").join(rows, "row", "left_semi"), "anchored-texts")
+    texts = written(docs.select("row", "text").join(rows, "row", "left_semi"), "anchored-texts", "zstd")
     groups = written(
         found.groupBy("gram", "run").agg(
             F.count("*").alias("m"), F.min(F.struct("row", "place")).alias("one")
