@@ -45,7 +45,7 @@ MANTISSA = 10
 BAND = 4
 EMPTY = 0xFFFF
 BLOCK = 512
-PIECE = 1 << 19
+PIECE = 1 << 17
 SPREAD = 6.0
 # Stand-ins for null ids lie above all ids.
 UNNAMED = 1 << 62
