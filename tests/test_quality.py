@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import math
+import random
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +71,35 @@ def test_iqr(spark):
     assert q.iqr_filter(df, "x").agg(F.max("x")).first()[0] == 99.0
 
 
+def test_quantiles_are_exact(spark):
+    fractions = (0.0, 0.25, 0.5, 0.9, 1.0)
+
+    def want(values):
+        values = sorted(v for v in values if v is not None)
+        return [values[max(1, math.ceil(f * len(values))) - 1] for f in fractions]
+
+    rng = random.Random(3)
+    cases = {
+        "double": [
+            [math.exp(rng.gauss(0, 60)) * rng.choice([-1, 1]) for _ in range(5000)],
+            [7.5] * 3000 + [8.0] * 2000 + [None] * 50,
+            [float("-inf"), -1.7e308, 1.7e308, float("inf")] * 600 + [0.1 * i for i in range(2000)],
+        ],
+        "bigint": [[2**62 + i for i in range(3000)], [3], [1, 2]],
+        "decimal(20,2)": [[Decimal(rng.randint(-(10**17), 10**17)) / 100 for _ in range(3000)]],
+    }
+    for kind, tables in cases.items():
+        for values in tables:
+            df = spark.createDataFrame([(v,) for v in values], f"x {kind}")
+            assert q.exact_quantiles(df, "x", fractions) == want(values)
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert q.exact_quantiles(empty, "x", fractions) == [None] * 5
+    assert q.iqr_filter(empty, "x").count() == 0
+    last = spark.createDataFrame([(1.0,), (float("nan"),), (float("nan"),)], "x double")
+    first, top = q.exact_quantiles(last, "x", (0.3, 0.6))
+    assert first == 1.0 and math.isnan(top)
+
+
 def test_model_steps(spark):
     df = spark.range(50).select(
         "id", F.when(F.col("id") < 30, "a").otherwise("b").alias("c"),

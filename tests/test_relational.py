@@ -10,6 +10,7 @@ from tidemark.operators.aggregate import (
     counts_by_hue,
     top_k,
     top_share,
+    with_dimension_totals,
     with_group_stats,
 )
 
@@ -94,6 +95,22 @@ def test_group_stats_keep_null_groups(spark):
     assert got == [("a", 1, 4), ("a", 3, 4), (None, 5, 12), (None, 7, 12)]
 
 
+def test_dimension_totals_equal_totals_of_the_joined_rows(spark):
+    facts = spark.createDataFrame(
+        [(1, 10), (1, None), (2, 5), (3, 7), (4, 1), (9, 99), (None, 50)], "k int, v int"
+    )
+    dimension = spark.createDataFrame(
+        [(1, "a"), (2, "a"), (3, None), (4, None), (4, "a"), (5, "b")], "k int, g string"
+    )
+    got = with_dimension_totals(
+        facts, dimension, "k", "g", {"_s": F.sum("v"), "_n": F.count("v")}, {"s": F.sum("_s"), "n": F.sum("_n")}
+    ).select("k", "g", "v", "s", "n")
+    want = with_group_stats(
+        r.join_on(facts, dimension, ["k"]), ["g"], {"s": F.sum("v"), "n": F.count("v")}
+    ).select("k", "g", "v", "s", "n")
+    assert _sorted(got) == _sorted(want) and got.count() == 6
+
+
 def test_above_average(spark):
     df = spark.createDataFrame([(1,), (2,), (9,), (None,)], "v int")
     assert _sorted(above_average(df, "v")) == [(9,)]

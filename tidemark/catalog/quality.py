@@ -165,7 +165,7 @@ def _(w):
        WHERE value BETWEEN lo - 1.5 * (hi - lo) AND hi + 1.5 * (hi - lo)""",
 )
 def _(w):
-    return q.iqr_filter(w.events.select("event_id", "value"), "value", accuracy=1_000_000)
+    return q.iqr_filter(w.events.select("event_id", "value"), "value")
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import ratio
+from tidemark.operators.relational import join_on
 from tidemark.session import materialize, stored
 
 
@@ -34,6 +35,29 @@ def with_group_stats(
     return joined.drop(*[f"_g{i}" for i in range(len(keys))])
 
 
+def with_dimension_totals(
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    group: str,
+    parts: Mapping[str, Column],
+    totals: Mapping[str, Column],
+) -> DataFrame:
+    """``facts`` joined to ``dimension`` by ``key``, with totals over each of its groups.
+
+    ``parts`` are sums of the facts of one key, ``totals`` aggregates of these. Facts shrink to
+    one row a key before they meet the dimension, and each fact is joined once, to a dimension
+    row that carries its group's totals. A null group is a group; a fact without a key has none.
+    """
+    per_key = facts.groupBy(key).agg(*[c.alias(n) for n, c in parts.items()])
+    grouped = stored(
+        join_on(per_key, dimension.select(key, group), [key])
+        .groupBy(group)
+        .agg(*[c.alias(n) for n, c in totals.items()])
+    )
+    return join_on(facts, join_on(dimension, grouped, [group], null_safe=True), [key])
+
+
 def above_average(df: DataFrame, column: str) -> DataFrame:
     """Rows above the overall mean, as one query with a scalar subquery."""
     mean = df.select(ratio(F.sum(column), F.count(column))).scalar()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -180,17 +181,78 @@ def mask_text(
     return df.withColumn(column, masked)
 
 
-def iqr_filter(
-    df: DataFrame, column: str, k: float = 1.5, accuracy: int = 10000
-) -> DataFrame:
-    """Rows within ``k`` inter-quartile ranges of the quartiles.
+BINS = 1024
+
+
+def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float]) -> list:
+    """The value at rank ``ceil(fraction * n)`` of the ``n`` values of a numeric column, for each
+    fraction; None where there are no values. Nulls count for nothing, NaN comes last.
 
-    Quartiles come from a mergeable summary with relative rank error 1/accuracy.
+    Rounds of counts: the range that holds a rank is cut into bins, each bin counted with its
+    least and greatest value, and the bin that holds the rank is the next round's range. All
+    fractions share a round, and no task or driver sees more than ``BINS`` rows for each of
+    them, so the answer is exact at every size. ``df`` is read once a round.
     """
-    quartiles = df.select(
-        F.percentile_approx(column, [0.25, 0.75], accuracy).alias("q")
-    ).scalar()
-    spread = (quartiles[1] - quartiles[0]) * k
+    v = F.col(column)
+    kind = df.schema[column].dataType
+    values = df.select(v).where(v.isNotNull())
+    n, low, high = values.agg(F.count(v), F.min(v), F.max(v)).first()
+    if not n:
+        return [None] * len(fractions)
+    # For each fraction the range its value is in, the rows there, and its rank among them.
+    state = [(low, high, n, min(n, max(1, math.ceil(f * n)))) for f in fractions]
+    while True:
+        ranges = list(dict.fromkeys(s[:3] for s in state if not _same(s[0], s[1])))
+        if not ranges:
+            return [s[0] for s in state]
+        cells = [
+            F.when((v >= lo) & (v <= hi), F.struct(F.lit(i).alias("part"), cell.alias("cell"), own.alias("own")))
+            for i, (lo, hi, rows) in enumerate(
+                (F.lit(a).cast(kind), F.lit(b).cast(kind), m) for a, b, m in ranges
+            )
+            # Few rows are told apart by value.
+            for cell, own in [
+                (F.lit(0), v) if rows <= BINS else (_bin(v, lo, hi), F.lit(None).cast(kind))
+            ]
+        ]
+        counted = (
+            values.select(v, F.coalesce(*cells).alias("_at"))
+            .where("_at is not null")
+            .groupBy("_at")
+            .agg(F.count(v).alias("rows"), F.min(v).alias("low"), F.max(v).alias("high"))
+            .orderBy("_at.part", "low")
+            .collect()
+        )
+        found = {r: [c for c in counted if c["_at"]["part"] == i] for i, r in enumerate(ranges)}
+        state = [s if _same(s[0], s[1]) else _narrowed(found[s[:3]], s[3]) for s in state]
+
+
+def _same(low, high) -> bool:
+    return low == high or (low != low and high != high)
+
+
+def _bin(v: Column, low: Column, high: Column) -> Column:
+    """Bin of a value within a range. Both ends have bins of their own, so that every round gets
+    on, also where one of them is infinite or the range too wide for a number."""
+    x, a, b = (c.cast("double") / 2 for c in (v, low, high))
+    place = F.nanvl((x - a) / F.nullif(b - a, F.lit(0.0)), F.lit(0.0))
+    inner = 1 + F.floor(F.least(F.greatest(F.coalesce(place, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * (BINS - 3))
+    return F.when(v == low, 0).when(v == high, BINS - 1).otherwise(inner).cast("int")
+
+
+def _narrowed(bins: Sequence, rank: int) -> tuple:
+    """Range, rows and rank in the bin that holds a rank, of bins in order."""
+    for one in bins:
+        if rank <= one["rows"]:
+            return one["low"], one["high"], one["rows"], rank
+        rank -= one["rows"]
+    raise ValueError("the rows changed between two rounds")
+
+
+def iqr_filter(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
+    """Rows within ``k`` inter-quartile ranges of the exact quartiles, which are found first."""
+    kind = df.schema[column].dataType
+    low, high = (F.lit(q).cast(kind) for q in exact_quantiles(df, column, (0.25, 0.75)))
+    spread = (high - low) * k
     c = F.col(column)
-    return df.where((c >= quartiles[0] - spread) & (c <= quartiles[1] + spread))
-
+    return df.where((c >= low - spread) & (c <= high + spread))

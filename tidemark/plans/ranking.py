@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import ratio
-from tidemark.operators.aggregate import with_group_stats
+from tidemark.operators.aggregate import with_dimension_totals, with_group_stats
 from tidemark.operators.global_window import (
     global_lag,
     global_lead,
@@ -66,10 +66,15 @@ def avg_qty_by_category(
         F.col("unit_price").alias("list_price"),
     )
     lines = _customer_lines(customers, orders, details)
-    rows = join_on(lines.select("product_id", "quantity", "order_id", "line_no"), catalog,
-                   ["product_id"])
     return (
-        with_group_stats(rows, ["category_id"], {"avg_quantity": _mean("quantity")})
+        with_dimension_totals(
+            lines.select("product_id", "quantity", "order_id", "line_no"),
+            catalog,
+            "product_id",
+            "category_id",
+            {"_units": F.sum("quantity"), "_lines": F.count("quantity")},
+            {"avg_quantity": ratio(F.sum("_units"), F.sum("_lines"))},
+        )
         .orderBy("category_name", "product_name", "product_id", "order_id", "line_no")
         .select(
             "product_name",
@@ -154,9 +159,18 @@ def _category_lines(
 def total_sales_by_category(
     products: DataFrame, categories: DataFrame, details: DataFrame
 ) -> DataFrame:
-    lines = _category_lines(products, categories, details)
+    catalog = join_on(
+        products.select("product_id", "product_name", "category_id"), categories, ["category_id"]
+    )
     return (
-        with_group_stats(lines, ["category_name"], {"total": F.sum(amount())})
+        with_dimension_totals(
+            details,
+            catalog,
+            "product_id",
+            "category_name",
+            {"_sales": F.sum(amount())},
+            {"total": F.sum("_sales")},
+        )
         .orderBy("category_name", "product_name", "product_id", "order_id", "line_no")
         .select(
             "category_name",
