@@ -79,3 +79,13 @@ def test_airport_lookup_is_broadcast_by_size_only(spark, sf_dir):
         clean, flights.airports_clean(w.airports_raw), "1997-01-01", "1999-06-30"
     )
     assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_outer_joins_read_a_side_twice_at_most(spark, tmp_path):
+    """Also in a chain, whose first result is written."""
+    for name in ("one", "two"):
+        spark.range(50).select(F.col("id").alias(f"k_{name}")).write.parquet(str(tmp_path / name))
+    one, two = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "two"))
+    for how in ("left", "right", "full"):
+        plan = r.outer_join(one, two, [("k_one", "k_two")], how)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [k_one") <= 2 and plan.count("Relation [k_two") <= 2

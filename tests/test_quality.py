@@ -138,3 +138,16 @@ def test_duplicate_columns_of_many(spark):
     wide = spark.range(50).select(*(F.col("id") * (k % 40) for k in range(80)))
     wide = wide.toDF(*(f"c{k}" for k in range(80)))
     assert q.duplicate_columns(wide).count() == 40
+
+
+def test_labels_are_numbered_in_a_table(spark):
+    """As the learner's own indexer, for 100,000 labels with ties, nulls and a hot one."""
+    from pyspark.ml.feature import StringIndexer
+
+    label = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1000 != 1, F.concat(F.lit("v"), F.col("id") % 100_000))
+    df = spark.range(300_000).select("id", label.alias("c"), F.lit(1.0).alias("x"))
+    learner = StringIndexer(inputCol="c", outputCol="want", handleInvalid="keep").fit(df)
+    got = learner.transform(ml.encode_scale(df, ["c"], ["x"]).select("c", "c_index"))
+    assert got.count() == 300_000 and got.where("c_index != want").isEmpty()
+    small = ml.encode_scale(spark.sql("select * from values ('b'), ('a'), ('b'), (null) v(c)"), ["c"], [])
+    assert {r["c"]: r["c_onehot"] for r in small.collect()} == {"b": [1, 0, 0], "a": [0, 1, 0], None: [0, 0, 1]}

@@ -307,3 +307,22 @@ def test_catalog_lists_tables_and_columns(spark, sf_dir):
         assert sizes["nation"] == spark.read.parquet(f"{sf_dir}/nation.parquet").count()
     finally:
         spark.sql("DROP DATABASE listed CASCADE")
+
+
+def test_column_types_from_every_value(spark):
+    """One odd value in the last of many rows is seen; blanks, zeros and suffixes are no numbers."""
+    rows = [(str(i), f"{i}.5", "true", "2024-01-02", " ", "007", f"{i}d") for i in range(3000)]
+    rows += [("x", "1e3", "false", "2024-1-3 10:20:00", None, "12", "1"), (None, "", None, None, "", "3", "")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string")
+    got = {r["column_name"]: tuple(r)[1:] for r in files.column_types(df).collect()}
+    assert got == {
+        "a": ("string", 3001, 3000, "int"),
+        "b": ("double", 3001, 3001, "double"),
+        "c": ("boolean", 3001, 3001, "boolean"),
+        "d": ("timestamp", 3001, 3001, "timestamp"),
+        "e": ("string", 0, 0, "string"),
+        "f": ("string", 3002, 2, "int"),
+        "g": ("string", 3001, 1, "int"),
+    }
+    assert files.schema_of(files.column_types(df)).fieldNames() == list("abcdefg")
+    assert files.column_types(df.where("false")).where("type != 'string'").isEmpty()

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 Keys = Sequence[str | tuple[str, str]]
 
 
@@ -83,19 +85,51 @@ def outer_join(
     if clash:
         raise ValueError(f"rename before joining: {sorted(clash)}")
     pairs = _pairs(keys)
-    columns = left.columns + right.columns
-    parts = [left.join(right, _condition(left, right, pairs, null_safe), "inner").select(columns)]
+    one = _with_keys(left, [a for a, _ in pairs], "__left", 1, null_safe)
+    two = _with_keys(right, [b for _, b in pairs], "__right", 2, null_safe)
+    present = _presence(one, two, len(pairs))
+    if how == "full":
+        # Both sides read it.
+        present = stored(present, "outer-keys")
     if how in ("left", "full"):
-        parts.append(_padded(anti(left, right, pairs, null_safe), right, columns))
+        two = two.unionByName(_partners(present, "not has_right", "__right", right))
     if how in ("right", "full"):
-        swapped = [(b, a) for a, b in pairs]
-        parts.append(_padded(anti(right, left, swapped, null_safe), left, columns))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _padded(df: DataFrame, missing: DataFrame, columns: list[str]) -> DataFrame:
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in missing.schema.fields]
-    return df.select("*", *empty).select(columns)
+        one = one.unionByName(_partners(present, "not has_left", "__left", left))
+    same = [F.col(f"__left{i}").eqNullSafe(F.col(f"__right{i}")) for i in range(len(pairs))]
+    same.append(F.col("__left_apart") == F.col("__right_apart"))
+    joined = one.join(two, reduce(lambda x, y: x & y, same), "inner")
+    return joined.select(left.columns + right.columns)
+
+
+def _with_keys(df: DataFrame, names, prefix: str, side: int, null_safe: bool) -> DataFrame:
+    """``df`` with copies of its keys, and 0 or, for a key that can equal none, its side."""
+    unequal = reduce(lambda x, y: x | y, [F.col(n).isNull() for n in names])
+    apart = F.lit(0) if null_safe else F.when(unequal, F.lit(side)).otherwise(F.lit(0))
+    copies = [F.col(n).alias(f"{prefix}{i}") for i, n in enumerate(names)]
+    return df.select("*", *copies, apart.alias(f"{prefix}_apart"))
+
+
+def _presence(one: DataFrame, two: DataFrame, keys: int) -> DataFrame:
+    """Distinct keys of both sides with the sides that have them, in one grouping."""
+    names = [f"key{i}" for i in range(keys)] + ["apart"]
+
+    def listed(df, prefix, has_left):
+        columns = [F.col(f"{prefix}{i}") for i in range(keys)] + [F.col(f"{prefix}_apart")]
+        flags = [F.lit(has_left).alias("l"), F.lit(not has_left).alias("r")]
+        return df.select(*[c.alias(n) for c, n in zip(columns, names, strict=True)], *flags)
+
+    both = listed(one, "__left", True).unionByName(listed(two, "__right", False))
+    return both.groupBy(*names).agg(F.max("l").alias("has_left"), F.max("r").alias("has_right"))
+
+
+def _partners(present: DataFrame, lacking: str, prefix: str, side: DataFrame) -> DataFrame:
+    """A row of nulls, as of ``side``, for every key that it lacks."""
+    keys = [n for n in present.columns if n.startswith("key")]
+    return present.where(lacking).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields],
+        *[F.col(n).alias(f"{prefix}{i}") for i, n in enumerate(keys)],
+        F.col("apart").alias(f"{prefix}_apart"),
+    )
 
 
 def join_dimension_twice(

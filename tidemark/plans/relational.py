@@ -16,6 +16,7 @@ from tidemark.operators.relational import (
     semi,
     union_distinct,
 )
+from tidemark.session import stored
 
 
 def amount(price: str = "unit_price", quantity: str = "quantity") -> Column:
@@ -126,7 +127,8 @@ def shippers_right_orders_year(shippers: DataFrame, orders: DataFrame, year: int
 def employees_full_territories(
     employees: DataFrame, assignments: DataFrame, territories: DataFrame
 ) -> DataFrame:
-    assigned = outer_join(
+    # Written, so that the second join does not read the first one's tables again.
+    joined = outer_join(
         employees.select("employee_id", "first_name", "last_name"),
         assignments.select(
             F.col("employee_id").alias("assigned_id"), F.col("territory_id").alias("assigned_to")
@@ -134,6 +136,7 @@ def employees_full_territories(
         [("employee_id", "assigned_id")],
         "full",
     )
+    assigned = stored(joined, "assigned")
     return outer_join(
         assigned, territories.select("territory_id"), [("assigned_to", "territory_id")], "full"
     ).select("first_name", "last_name", "territory_id")
