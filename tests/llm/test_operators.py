@@ -5,6 +5,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -427,3 +428,73 @@ def test_secrets_in_very_long_candidates_and_texts(spark):
         assert [(s["start"], s["kind"], s["stop"]) for s in got[i]["_spans"]] == want, i
     assert got[0]["masked"] == "[entropy_base64]"
     assert got[1]["masked"] == "é [assign] \U0001f600 " * 30_000
+
+
+def _block_rows(rng, cells):
+    """Rows of pairs of blocks, whose sketches are near copies of one per pair of blocks."""
+    kinds = dict(band="int32", key="int64", bi="int64", bj="int64", at="int64", id="int64", label="int64", n="int64")
+    rows, sketches_, number = [], [], 0
+    for cell, (here, there) in enumerate(cells):
+        base = rng.integers(0, 1 << 15, minhash.BUCKETS).astype(np.uint16)
+        base[rng.random(minhash.BUCKETS) < 0.1] = minhash.EMPTY
+        for at in rng.permutation([0] * here + [1] * there):
+            one = base.copy()
+            spots = rng.random(minhash.BUCKETS) < rng.choice([0.02, 0.15, 0.5])
+            one[spots] = rng.integers(0, 1 << 15, spots.sum())
+            one[: minhash.BAND] = base[: minhash.BAND] = 7
+            rows.append((0, cell // 2, 0, int(there > 0), at, number, rng.integers(3), rng.integers(100, 120)))
+            sketches_.append(one.tobytes())
+            number += 1
+    frame = pd.DataFrame(rows, columns=list(kinds)).astype(kinds)
+    return frame.assign(sketch=sketches_).sort_values(minhash.BLOCKS, kind="stable", ignore_index=True)
+
+
+def _plain_pairs(rows):
+    """Promising pairs of each pair of blocks with their estimates, one by one."""
+    out = {}
+    for _, block in rows.groupby(minhash.BLOCKS):
+        block = list(block.itertuples())
+        for k, a in enumerate(block):
+            for b in block[k + 1 :]:
+                if a.label == b.label or (a.bi != a.bj and a.at == b.at):
+                    continue
+                a_, b_ = (a, b) if a.bi == a.bj or a.at == a.bi else (b, a)
+                ra, rb = np.frombuffer(a_.sketch, np.uint16), np.frombuffer(b_.sketch, np.uint16)
+                held = (ra != minhash.EMPTY) | (rb != minhash.EMPTY)
+                found = minhash.corrected(int(((ra == rb) & held).sum()), int(held.sum()), a_.n, b_.n)
+                if minhash.near_enough(found, int(held.sum()), a_.n, b_.n, minhash.Rule()):
+                    out.setdefault(a_.id, {})[b_.id] = found
+    return out
+
+
+def test_pairs_of_many_blocks_at_once_are_those_of_each(monkeypatch):
+    rng = np.random.default_rng(4)
+    cells = [(2, 0), (2, 1), (3, 0), (1, 0), (1, 3), (40, 0), (30, 25), (2, 0)] + [(int(rng.integers(1, 6)), 0) for _ in range(200)]
+    rows = _block_rows(rng, cells)
+    plain = _plain_pairs(rows)
+    # Batches that cut blocks, slices of a few pairs.
+    monkeypatch.setattr(minhash, "PAIRS", 37)
+    batches = [rows.iloc[k : k + 50].reset_index(drop=True) for k in range(0, len(rows), 50)]
+    best = pd.concat(minhash._best_pairs(iter(batches), minhash.Rule()))
+    assert sorted(best["x"]) == sorted(plain)
+    assert all(plain[x][y] == pytest.approx(max(plain[x].values())) for x, y in zip(best["x"], best["y"]))
+    key = dict(zip(rows["id"], rows["key"]))
+    assert all(key[x] == k for x, k in zip(best["x"], best["key"]))
+    concerned = pd.concat(minhash._concerned(iter(batches), minhash.Rule()))
+    assert sorted(concerned["id"]) == sorted({*plain, *(y for ys in plain.values() for y in ys)})
+    # Sets: links are exactly the promising pairs with enough in common.
+    sets = {i: np.arange(rng.integers(30), 100, dtype=np.uint64) for i in rows["id"]}
+    full = [b.assign(n=[len(sets[i]) for i in b["id"]], grams=[sets[i].tobytes() for i in b["id"]]) for b in batches]
+    links = pd.concat(minhash._block_links(iter(full), minhash.Rule()))
+    whole = pd.concat(full)
+    expected = {
+        (x, y) for x, ys in _plain_pairs(whole).items() for y in ys
+        if 100 * min(len(sets[x]), len(sets[y])) >= 80 * max(len(sets[x]), len(sets[y]))
+    }
+    assert expected and set(zip(links["x"], links["y"])) == expected
+
+
+def test_small_blocks_are_compared_together():
+    rows = _block_rows(np.random.default_rng(6), [(3, 0)] * 2000)
+    calls = list(minhash._best_pairs(iter([rows]), minhash.Rule()))
+    assert 500 < sum(map(len, calls)) and len(calls) <= 10

@@ -16,8 +16,9 @@ of its bands, the most promising of these pairs is verified, and components are
 only bands that still hold two components are looked at: their members are dealt into blocks,
 and blocks compared with blocks, pairs within a component being passed over. As long as the best
 partner of each member still links some, only those are verified and components formed anew;
-at last all promising pairs that still lie across components are. A link is thus left out
-only inside a component, where it changes nothing.
+at last all promising pairs that still lie across components are, in the bands in which the last
+round found any. Pairs of blocks are compared many at a time, as most bands have a few members only.
+A link is thus left out only inside a component, where it changes nothing.
 
 Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer
 words than a shingle is one shingle; texts are taken whole, in pieces of bounded size; rows
@@ -45,6 +46,8 @@ MANTISSA = 10
 BAND = 4
 EMPTY = 0xFFFF
 BLOCK = 512
+# Pairs of sketches compared at once, about a megabyte of each side.
+PAIRS = 1 << 12
 PIECE = 1 << 17
 SPREAD = 6.0
 # Stand-ins for null ids lie above all ids.
@@ -295,74 +298,107 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 BLOCKS = ["band", "key", "bi", "bj"]
 
 
-def _by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each pair of blocks, from rows sorted by BLOCKS."""
+def _whole_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Many whole pairs of blocks at once, with where each begins and the last ends, from rows sorted
+    by BLOCKS. Within a pair of blocks the rows of the first one come first."""
     held = None
     for batch in batches:
         rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if not len(rows):
             continue
-        keys = rows[BLOCKS].to_numpy()
-        cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            yield rows.iloc[a:b]
-        held = rows.iloc[cuts[-1] :]
+        cuts = _cuts(rows)
+        if len(cuts) > 2:
+            yield _first_block_first(rows.iloc[: cuts[-2]]), cuts[:-1]
+        held = rows.iloc[cuts[-2] :]
     if held is not None:
-        yield held
+        yield _first_block_first(held), _cuts(held)
 
 
-def _candidates(rows: pd.DataFrame, rule: Rule, best: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the promising pairs across components in one pair of blocks: of each row
-    the best one, or all those whose first shared band this is."""
-    one = rows.iloc[0]
-    same, band = bool(one["bi"] == one["bj"]), int(one["band"])
-    here = rows["at"].to_numpy() == one["bi"]
-    left, right = np.flatnonzero(here), np.flatnonzero(here if same else ~here)
+def _cuts(rows: pd.DataFrame) -> np.ndarray:
+    new = np.zeros(len(rows) - 1, bool)
+    for c in BLOCKS:
+        one = rows[c].to_numpy()
+        new |= one[1:] != one[:-1]
+    return np.r_[0, np.flatnonzero(new) + 1, len(rows)]
+
+
+def _first_block_first(rows: pd.DataFrame) -> pd.DataFrame:
+    later = rows["at"].to_numpy() != rows["bi"].to_numpy()
+    if not later.any():
+        return rows
+    block = np.zeros(len(rows), np.int64)
+    block[_cuts(rows)[1:-1]] = 1
+    return rows.iloc[np.lexsort((later, block.cumsum()))]
+
+
+def _equal(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which registers are equal, and how many, empty ones too."""
+    alike = x == y
+    # Eight truth values are added at a time, each in a byte of its own, then the eight bytes.
+    lanes = alike.view(np.uint64).sum(axis=1)
+    return alike, ((lanes * U(0x0101010101010101)) >> U(56)).astype(np.int64)
+
+
+def _candidates(rows: pd.DataFrame, cuts: np.ndarray, rule: Rule, best: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the promising pairs across components within pairs of blocks, some at a
+    time, by the first row: of each row the best one, or all those whose first shared band this is."""
     regs, size, label = _rows(rows["sketch"]), rows["n"].to_numpy(), rows["label"].to_numpy()
-    filled = (regs != EMPTY).astype(np.float32)
-    count = filled.sum(axis=1)
-    used = count[left][:, None] + count[right][None, :] - filled[left] @ filled[right].T
-    xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for row, i in enumerate(left):
-        fine = label[right] != label[i]
-        if same:
-            fine &= right > i
-        j = right[fine]
-        if not len(j):
+    band, empty = rows["band"].to_numpy(), np.packbits(regs == EMPTY, axis=1).view(np.uint64)
+    length = np.diff(cuts)
+    stop = np.repeat(cuts[1:], length)
+    same = rows["bi"].to_numpy() == rows["bj"].to_numpy()
+    first = rows["at"].to_numpy() == rows["bi"].to_numpy()
+    # Partners are the rows after it in its block, or all those of the other block.
+    start = np.where(same, np.arange(len(rows)) + 1, np.repeat(cuts[:-1] + np.add.reduceat(first, cuts[:-1], dtype=np.int64), length))
+    partners = np.where(first, stop - start, 0)
+    total = np.cumsum(partners)
+    at = 0
+    while at < len(rows):
+        done = total[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(total, done + PAIRS, "right")))
+        count = partners[at:to]
+        x = np.repeat(np.arange(at, to), count)
+        y = np.arange(len(x)) + np.repeat(start[at:to] - (total[at:to] - count - done), count)
+        at = to
+        small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+        fine = (label[x] != label[y]) & (100 * small >= rule.percent * large)
+        x, y = x[fine], y[fine]
+        if not len(x):
             continue
-        in_use = used[row][fine]
+        alike, equal = _equal(regs[x], regs[y])
+        both = np.bitwise_count(empty[x] & empty[y]).sum(axis=1, dtype=np.int64)
         # Registers empty in both are equal too.
-        alike = regs[j] == regs[i]
-        equal = alike.sum(axis=1) - (BUCKETS - in_use)
-        found = corrected(equal, in_use, size[i], size[j])
-        good = near_enough(found, in_use, size[i], size[j], rule)
-        if not good.any():
+        found = corrected(equal - both, BUCKETS - both, size[x], size[y])
+        good = near_enough(found, BUCKETS - both, size[x], size[y], rule)
+        x, y, found, alike = x[good], y[good], found[good], alike[good]
+        if not len(x):
             continue
         if best:
-            j = j[[np.where(good, found, -1.0).argmax()]]
+            order = np.lexsort((-found, x))
+            x, y = x[order], y[order]
+            keep = np.r_[True, x[1:] != x[:-1]]
         else:
-            bands = alike[good].reshape(int(good.sum()), -1, BAND).all(axis=2)
-            bands &= (regs[i] != EMPTY).reshape(-1, BAND).any(axis=1)
-            j = j[good][bands.argmax(axis=1) == band]
-        xs.append(np.full(len(j), i))
-        ys.append(j)
-    return np.concatenate(xs), np.concatenate(ys)
+            bands = alike.reshape(len(x), -1, BAND).all(axis=2)
+            bands &= (regs[x] != EMPTY).reshape(len(x), -1, BAND).any(axis=2)
+            keep = bands.argmax(axis=1) == band[x]
+        yield x[keep], y[keep]
 
 
 def _best_pairs(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
-    for rows in _by_block(batches):
-        x, y = _candidates(rows, rule, best=True)
-        if len(x):
-            ids = rows["id"].to_numpy()
-            yield pd.DataFrame({"x": ids[x], "y": ids[y]})
+    for rows, cuts in _whole_blocks(batches):
+        band, key, ids = rows["band"].to_numpy(), rows["key"].to_numpy(), rows["id"].to_numpy()
+        for x, y in _candidates(rows, cuts, rule, best=True):
+            yield pd.DataFrame({"band": band[x], "key": key[x], "x": ids[x], "y": ids[y]})
 
 
 def _concerned(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
     """Rows without sketch that are in any candidate pair."""
-    for rows in _by_block(batches):
-        x, y = _candidates(rows, rule, best=False)
-        if len(x):
-            yield rows.iloc[np.unique(np.r_[x, y])][[*BLOCKS, "at", "id", "label"]]
+    for rows, cuts in _whole_blocks(batches):
+        hit = np.zeros(len(rows), bool)
+        for x, y in _candidates(rows, cuts, rule, best=False):
+            hit[x] = hit[y] = True
+        if hit.any():
+            yield rows.loc[hit, [*BLOCKS, "at", "id", "label"]]
 
 
 def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -391,15 +427,20 @@ def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _block_links(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
     """Links among the candidate pairs of each pair of blocks, by full sets."""
-    for rows in _by_block(batches):
-        x, y = _candidates(rows, rule, best=False)
-        if not len(x):
+    for rows, cuts in _whole_blocks(batches):
+        found = list(_candidates(rows, cuts, rule, best=False))
+        if not found:
             continue
-        common = _common([np.frombuffer(g, np.uint64) for g in rows["grams"]], x, y)
-        n, ids = rows["n"].to_numpy(), rows["id"].to_numpy()
-        linked = 100 * common >= rule.percent * (n[x] + n[y] - common)
-        if linked.any():
-            yield pd.DataFrame({"x": ids[x[linked]], "y": ids[y[linked]]})
+        xs, ys = (np.concatenate(c) for c in zip(*found))
+        n, ids, grams = rows["n"].to_numpy(), rows["id"].to_numpy(), rows["grams"].to_list()
+        ends = np.searchsorted(xs, cuts)
+        for k in np.flatnonzero(np.diff(ends)):
+            x, y = xs[ends[k] : ends[k + 1]], ys[ends[k] : ends[k + 1]]
+            sets = [np.frombuffer(g, np.uint64) for g in grams[cuts[k] : cuts[k + 1]]]
+            common = _common(sets, x - cuts[k], y - cuts[k])
+            linked = 100 * common >= rule.percent * (n[x] + n[y] - common)
+            if linked.any():
+                yield pd.DataFrame({"x": ids[x[linked]], "y": ids[y[linked]]})
 
 
 def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -448,11 +489,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
-def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """All links across components that are left. Pairs are found twice, first to learn whose
-    sets are needed where, then with these sets; only links leave a task."""
+def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, hopeful: DataFrame, rule: Rule) -> DataFrame:
+    """All links across components that are left, from the bands in which a best pair was found.
+    Pairs are found twice, first to learn whose sets are needed where, then with these sets; only
+    links leave a task."""
     concerned = written(
-        _dealt(open_, classes).mapInPandas(
+        _dealt(open_.join(hopeful, ["band", "key"], "left_semi"), classes).mapInPandas(
             lambda it: _concerned(it, rule),
             "band int, key long, bi long, bj long, at long, id long, label long",
         ),
@@ -530,12 +572,17 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         open_ = written(_open_bands(members, roots), "open-bands")
         if open_.isEmpty():
             break
-        pairs = _dealt(open_, classes).mapInPandas(lambda it: _best_pairs(it, rule), "x long, y long")
+        pairs = _dealt(open_, classes).mapInPandas(
+            lambda it: _best_pairs(it, rule), "band int, key long, x long, y long"
+        )
+        pairs = written(pairs, "best-of-blocks")
         some = written(_ordered(pairs), "best-pairs")
         more = written(verified(some, sets, rule), "best-links")
         if more.count() * 100 <= some.count():
             # Few are linked; the rest is settled at once.
-            roots = connected(links.unionByName(more).unionByName(_rest(open_, classes, sets, rule)))
+            hopeful = written(pairs.select("band", "key").distinct(), "hopeful-bands")
+            rest = _rest(open_, classes, sets, hopeful, rule)
+            roots = connected(links.unionByName(more).unionByName(rest))
             break
         # Links so far, as one link from each node to its root.
         links = written(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more), "links-so-far")
