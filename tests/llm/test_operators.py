@@ -498,3 +498,67 @@ def test_small_blocks_are_compared_together():
     rows = _block_rows(np.random.default_rng(6), [(3, 0)] * 2000)
     calls = list(minhash._best_pairs(iter([rows]), minhash.Rule()))
     assert 500 < sum(map(len, calls)) and len(calls) <= 10
+
+
+def _families(rng, members, changes):
+    """Texts of 80 words that differ from one in some places each."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    out = []
+    for _ in range(members):
+        own = list(base)
+        for at in rng.sample(range(80), changes):
+            own[at] = f"v{rng.randrange(10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_open_bands_are_dealt_once_and_hold_no_bands_of_two(spark, monkeypatch):
+    """However many rounds there are, and every link is found. Pairs that are promising, but not alike
+    enough to be linked, keep bands open."""
+    rng = random.Random(8)
+    texts = [t for k in (1, 2, 3, 4, 5) for _ in range(6) for t in _families(rng, 12, k)]
+    texts += [t for k in (1, 2, 3, 4) for _ in range(15) for t in _families(rng, 2, k)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute.components(list(enumerate(texts)), 4)
+    opened = []
+    deal = minhash._dealt
+    monkeypatch.setattr(minhash, "_dealt", lambda open_, classes: opened.append(open_) or deal(open_, classes))
+    # At 0 the best partners go first, round after round.
+    for many in (0, 8, 10**9):
+        monkeypatch.setattr(minhash, "MANY", many)
+        got = _by_id(minhash.near_duplicates(docs, minhash.Rule(words=4)))
+        assert {k: (r["n_shingles"], r["component_id"]) for k, r in got.items()} == want
+    assert len(opened) == 3
+    for one in opened:
+        sizes = one.groupBy("band", "key").agg(F.count("*").alias("m"))
+        assert not sizes.isEmpty() and sizes.where("m < 3").isEmpty()
+
+
+def test_the_only_pair_of_a_band_of_two_is_verified(spark):
+    """A text between two others that are no copies of each other: one link is its best, the other
+    often has a band of two as its first shared band, where nothing looks again."""
+    rng = random.Random(9)
+    rows = []
+    for _ in range(40):
+        left = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        middle, right = list(left), list(left)
+        for k in (118, 119):
+            middle[k] = right[k] = f"a{rng.randrange(10**6)}"
+        for k in range(13):
+            right[k] = f"b{rng.randrange(10**6)}"
+        rows += [" ".join(left), " ".join(right), " ".join(middle)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = _by_id(minhash.near_duplicates(docs, minhash.Rule(words=4)))
+    assert {k: (r["n_shingles"], r["component_id"]) for k, r in got.items()} == brute.components(list(enumerate(rows)), 4)
+    assert all(got[k]["component_id"] == k - k % 3 for k in got)
+
+
+def test_promising_pairs_count_in_the_first_band_they_share():
+    rows = _block_rows(np.random.default_rng(7), [(4, 0)] * 50)
+    again = rows.assign(band=np.int32(1))
+    both = pd.concat([rows, again]).sort_values(minhash.BLOCKS, kind="stable", ignore_index=True)
+    both["sketch"] = [s[:8] * 2 + s[16:] for s in both["sketch"]]
+    concerned = pd.concat(minhash._concerned(iter([both]), minhash.Rule()))
+    best = pd.concat(minhash._best_pairs(iter([both]), minhash.Rule()))
+    assert len(best) and set(best["band"]) == set(concerned["band"]) == {0}
+    assert concerned["pairs"].sum() >= len(best)

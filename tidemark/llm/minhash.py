@@ -12,12 +12,14 @@ that chance alone would give, must come within six deviations of the threshold.
 *Verification.* Shingle sets of what is left are made again from the whole texts and compared.
 
 All pairs of a band are never made. First each class is paired with the least member of each
-of its bands, the most promising of these pairs is verified, and components are formed. Then
-only bands that still hold two components are looked at: their members are dealt into blocks,
-and blocks compared with blocks, pairs within a component being passed over. As long as the best
-partner of each member still links some, only those are verified and components formed anew;
-at last all promising pairs that still lie across components are, in the bands in which the last
-round found any. Pairs of blocks are compared many at a time, as most bands have a few members only.
+of its bands, the most promising of these pairs is verified, and components are formed. That
+settles bands of two, whose only pair is verified whenever it is promising. Then
+only bands that still hold two components are looked at: their members are dealt into blocks once,
+and blocks compared with blocks, pairs within a component being passed over. Only members of
+promising pairs, each counted in the first band it shares, go on. Where these pairs are few, all
+are verified at once. Where they are many, the best partner of each member is first, and components are
+formed anew as long as that links some; then what is left across components is compared again.
+Pairs of blocks are compared many at a time, as most bands have a few members only.
 A link is thus left out only inside a component, where it changes nothing.
 
 Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer
@@ -50,6 +52,8 @@ BLOCK = 512
 PAIRS = 1 << 12
 PIECE = 1 << 17
 SPREAD = 6.0
+# Promising pairs for each of their members up to which all are verified at once.
+MANY = 8
 # Stand-ins for null ids lie above all ids.
 UNNAMED = 1 << 62
 
@@ -341,7 +345,7 @@ def _equal(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _candidates(rows: pd.DataFrame, cuts: np.ndarray, rule: Rule, best: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of the promising pairs across components within pairs of blocks, some at a
-    time, by the first row: of each row the best one, or all those whose first shared band this is."""
+    time, by the first row: those whose first shared band this is, of each row all or the best one."""
     regs, size, label = _rows(rows["sketch"]), rows["n"].to_numpy(), rows["label"].to_numpy()
     band, empty = rows["band"].to_numpy(), np.packbits(regs == EMPTY, axis=1).view(np.uint64)
     length = np.diff(cuts)
@@ -373,15 +377,16 @@ def _candidates(rows: pd.DataFrame, cuts: np.ndarray, rule: Rule, best: bool) ->
         x, y, found, alike = x[good], y[good], found[good], alike[good]
         if not len(x):
             continue
-        if best:
+        bands = alike.reshape(len(x), -1, BAND).all(axis=2)
+        bands &= (regs[x] != EMPTY).reshape(len(x), -1, BAND).any(axis=2)
+        here = bands.argmax(axis=1) == band[x]
+        x, y, found = x[here], y[here], found[here]
+        if best and len(x):
             order = np.lexsort((-found, x))
             x, y = x[order], y[order]
             keep = np.r_[True, x[1:] != x[:-1]]
-        else:
-            bands = alike.reshape(len(x), -1, BAND).all(axis=2)
-            bands &= (regs[x] != EMPTY).reshape(len(x), -1, BAND).any(axis=2)
-            keep = bands.argmax(axis=1) == band[x]
-        yield x[keep], y[keep]
+            x, y = x[keep], y[keep]
+        yield x, y
 
 
 def _best_pairs(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
@@ -392,13 +397,14 @@ def _best_pairs(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.Data
 
 
 def _concerned(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
-    """Rows without sketch that are in any candidate pair."""
+    """Rows without sketch that are in any candidate pair, with the number of those it comes first in."""
     for rows, cuts in _whole_blocks(batches):
-        hit = np.zeros(len(rows), bool)
+        hit, pairs = np.zeros(len(rows), bool), np.zeros(len(rows), np.int64)
         for x, y in _candidates(rows, cuts, rule, best=False):
             hit[x] = hit[y] = True
+            pairs += np.bincount(x, minlength=len(rows))
         if hit.any():
-            yield rows.loc[hit, [*BLOCKS, "at", "id", "label"]]
+            yield rows[[*BLOCKS, "at", "id", "label"]].assign(pairs=pairs)[hit]
 
 
 def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -443,12 +449,16 @@ def _block_links(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.Dat
                 yield pd.DataFrame({"x": ids[x[linked]], "y": ids[y[linked]]})
 
 
+def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the component of each ``id`` as ``label``."""
+    return rows.join(roots, "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
+
+
 def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
     """``band, key, id, label, main, outer, inner``: members of bands that hold several components,
     whether a member is in the component that has most of the band, and the number of blocks that
     the others and its members are dealt into. A band that fits one block is one."""
-    labelled = members.join(roots, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("label"))
-    labelled = written(labelled, "band-labels")
+    labelled = written(_labelled(members.select("band", "key", "id"), roots), "band-labels")
     blocks = lambda n: F.ceil(n / BLOCK).cast("long")
     several = (
         labelled.groupBy("band", "key", "label")
@@ -489,19 +499,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
-def _rest(open_: DataFrame, classes: DataFrame, sets: DataFrame, hopeful: DataFrame, rule: Rule) -> DataFrame:
-    """All links across components that are left, from the bands in which a best pair was found.
-    Pairs are found twice, first to learn whose sets are needed where, then with these sets; only
-    links leave a task."""
-    concerned = written(
-        _dealt(open_.join(hopeful, ["band", "key"], "left_semi"), classes).mapInPandas(
+def _with_sketches(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    return rows.join(classes.select("id", "n", "sketch"), "id")
+
+
+def _concerned_rows(dealt: DataFrame, rule: Rule) -> tuple[DataFrame, int, int]:
+    """Members of promising pairs, in the pairs of blocks where these are, and how many of both there are."""
+    rows = written(
+        dealt.mapInPandas(
             lambda it: _concerned(it, rule),
-            "band int, key long, bi long, bj long, at long, id long, label long",
+            "band int, key long, bi long, bj long, at long, id long, label long, pairs long",
         ),
         "concerned",
     )
-    full = _sorted(concerned.join(classes.select("id", "n", "sketch"), "id").join(sets, "id"))
-    return _ordered(full.mapInPandas(lambda it: _block_links(it, rule), "x long, y long"))
+    return rows, *rows.agg(F.count("*"), F.coalesce(F.sum("pairs"), F.lit(0))).first()
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -533,7 +544,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     members = written(bands.join(shared, ["band", "key"]), "band-members")
 
-    # First the least member of each band: one verified link joins most of a group.
+    # First the least member of each band: one verified link joins most of a group. The only pair of
+    # a band of two is verified even if it is not the best.
     x = classes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     y = classes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
@@ -544,13 +556,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         found = corrected(((a == b) & (a != EMPTY)).sum(axis=1), used, na, nb)
         return pd.Series(np.where(near_enough(found, used, na, nb, rule), found, -1.0))
 
-    stars = members.where("id != least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+    stars = (
+        members.where("id != least").groupBy(F.col("id").alias("a"), F.col("least").alias("b"))
+        .agg((F.min("m") == 2).alias("only"))
+    )
     stars = (
         stars.join(x, "a").join(y, "b")
-        .select("a", "b", hope("sa", "sb", "na", "nb").alias("hope"))
+        .select("a", "b", "only", hope("sa", "sb", "na", "nb").alias("hope"))
         .where("hope >= 0")
-        .groupBy("a").agg(F.max(F.struct("hope", -F.col("b"))).alias("best"))
-        .select("a", (-F.col("best")["col2"]).alias("b"))
+        .groupBy("a").agg(
+            F.max(F.struct("hope", -F.col("b"))).alias("best"), F.collect_set(F.when(F.col("only"), F.col("b"))).alias("only")
+        )
+        .select("a", F.explode(F.array_union("only", F.array(-F.col("best")["col2"]))).alias("b"))
     )
     stars = written(stars, "star-pairs")
 
@@ -565,28 +582,31 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     sets = written(sets, "shingle-sets")
     first = written(verified(stars, sets, rule), "first-links")
-    # Then bands that hold more than one component: the best partners of each member, as
-    # long as that links anything, and at last all that is left.
+    # Then larger bands that hold more than one component: where many pairs are promising, the best
+    # partners of each member, as long as that links anything, and at last all that is left.
     links, roots = first, connected(first)
+    dealt = _dealt(_open_bands(members.where("m > 2"), roots), classes)
     while True:
-        open_ = written(_open_bands(members, roots), "open-bands")
-        if open_.isEmpty():
+        rows, n_rows, n_pairs = _concerned_rows(dealt, rule)
+        if n_pairs <= MANY * n_rows:
             break
-        pairs = _dealt(open_, classes).mapInPandas(
+        pairs = _sorted(_with_sketches(rows, classes)).mapInPandas(
             lambda it: _best_pairs(it, rule), "band int, key long, x long, y long"
         )
-        pairs = written(pairs, "best-of-blocks")
         some = written(_ordered(pairs), "best-pairs")
         more = written(verified(some, sets, rule), "best-links")
-        if more.count() * 100 <= some.count():
-            # Few are linked; the rest is settled at once.
-            hopeful = written(pairs.select("band", "key").distinct(), "hopeful-bands")
-            rest = _rest(open_, classes, sets, hopeful, rule)
-            roots = connected(links.unionByName(more).unionByName(rest))
-            break
+        few = more.count() * 100 <= some.count()
         # Links so far, as one link from each node to its root.
         links = written(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more), "links-so-far")
+        if few:
+            break
         roots = connected(links)
+        dealt = _sorted(_with_sketches(_labelled(rows.drop("label", "pairs"), roots), classes))
+    if n_rows:
+        # Pairs are found again, now with the sets of those concerned; only links leave a task.
+        full = _sorted(_with_sketches(rows, classes).join(sets, "id"))
+        rest = _ordered(full.mapInPandas(lambda it: _block_links(it, rule), "x long, y long"))
+        roots = connected(links.unionByName(rest))
     named = written(
         classes.select("k1", "k2", "id").join(roots, "id", "left")
         .select("k1", "k2", F.coalesce("root", "id").alias("component")),
