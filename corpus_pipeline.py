@@ -20,7 +20,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import langid, minhash, packing, secrets, suffixes
-from tidemark.llm.common import numbered, table
+from tidemark.llm.common import numbered, table, written
 from tidemark.session import scratch_path
 
 MIN_SCORE = 0.5
@@ -68,9 +68,13 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that stand anywhere else too are cut out of every document."""
     rows = numbered(docs)
-    cut = suffixes.cut_texts(rows).select("row", suffixes.as_text(F.col("kept")).alias("_kept"))
+    # Only spans are joined, so that all texts cross one shuffle and repeated ones no other with it.
+    starts, _ = suffixes.repeated_starts(rows)
+    gone = written(suffixes.spans(starts).withColumnRenamed("spans", "_spans"), "removed-spans")
+    found = rows.join(gone, "row", "left")
+    found = found.withColumn("_kept", suffixes.as_text(suffixes.cut(F.col("text"), F.col("_spans"))))
     text = F.coalesce("_kept", "text")
-    return _with(rows.join(cut, "row", "left"), docs.columns, text=text, n_chars=F.length(text))
+    return _with(found, docs.columns, text=text, n_chars=F.length(text))
 
 
 @_apart

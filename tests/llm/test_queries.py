@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import brute
 import oracle
 import pytest
@@ -115,3 +117,23 @@ def test_stages_leave_odd_texts_alone(spark, sf_dir):
         assert sorted(str(r["text"]) for r in got) == sorted(str(r[1]) for r in rows), name
     packed = steps["best_fit_packing"](spark, docs, sf_dir).collect()
     assert sum(r["n_tokens"] for r in packed) == 3 + 4
+
+
+def test_texts_cross_one_shuffle_when_passages_are_cut(spark, sf_dir):
+    """Only spans are joined with the documents; the copy of the texts they were found in is not read again."""
+    rng = random.Random(3)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = line(40) + " é "
+    texts = [line(30) + passage + line(30), passage + line(20), line(50), None, "", passage]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, docs, sf_dir)
+    assert not [f for f in out.inputFiles() if "anchored-texts" in f]
+    raws = [(t or "").encode() for t in texts]
+    want = {
+        i: None if t is None else brute.without(raw, gone).decode("utf-8", "ignore")
+        for i, (t, raw, gone) in enumerate(zip(texts, raws, brute.repeated_bytes(raws, 200)))
+    }
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
+    assert got == {i: (t, None if t is None else len(t)) for i, t in want.items()}
+    assert sum(t != texts[i] for i, t in want.items()) == 3

@@ -332,6 +332,16 @@ def cut_texts(docs: DataFrame, rule: Depth = Depth()) -> DataFrame:
     )
 
 
+def cut(text: Column, spans: Column) -> Column:
+    """Bytes of ``text`` without its ``spans``; null where nothing goes, and such texts stay in the JVM."""
+
+    @F.pandas_udf("binary")
+    def rest(texts: pd.Series, lists: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None else _without(t.encode(), s) for t, s in zip(texts, lists)], dtype=object)
+
+    return rest(F.when(spans.isNotNull(), text), spans)
+
+
 def as_text(kept: Column) -> Column:
     """Bytes as text; bytes of a character that was cut in two are dropped."""
 
