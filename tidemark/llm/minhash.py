@@ -53,7 +53,7 @@ PAIRS = 1 << 12
 PIECE = 1 << 17
 SPREAD = 6.0
 # Promising pairs for each of their members up to which all are verified at once.
-MANY = 8
+MANY = 64
 # Stand-ins for null ids lie above all ids.
 UNNAMED = 1 << 62
 
@@ -397,14 +397,14 @@ def _best_pairs(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.Data
 
 
 def _concerned(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
-    """Rows without sketch that are in any candidate pair, with the number of those it comes first in."""
+    """Rows that are in any candidate pair, with the number of those they come first in."""
     for rows, cuts in _whole_blocks(batches):
         hit, pairs = np.zeros(len(rows), bool), np.zeros(len(rows), np.int64)
         for x, y in _candidates(rows, cuts, rule, best=False):
             hit[x] = hit[y] = True
             pairs += np.bincount(x, minlength=len(rows))
         if hit.any():
-            yield rows[[*BLOCKS, "at", "id", "label"]].assign(pairs=pairs)[hit]
+            yield rows.loc[hit, [*BLOCKS, "at", "id", "label", "n", "sketch"]].assign(pairs=pairs[hit])
 
 
 def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -499,16 +499,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
-def _with_sketches(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    return rows.join(classes.select("id", "n", "sketch"), "id")
-
-
 def _concerned_rows(dealt: DataFrame, rule: Rule) -> tuple[DataFrame, int, int]:
     """Members of promising pairs, in the pairs of blocks where these are, and how many of both there are."""
     rows = written(
         dealt.mapInPandas(
             lambda it: _concerned(it, rule),
-            "band int, key long, bi long, bj long, at long, id long, label long, pairs long",
+            "band int, key long, bi long, bj long, at long, id long, label long, n long, sketch binary, pairs long",
         ),
         "concerned",
     )
@@ -590,9 +586,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         rows, n_rows, n_pairs = _concerned_rows(dealt, rule)
         if n_pairs <= MANY * n_rows:
             break
-        pairs = _sorted(_with_sketches(rows, classes)).mapInPandas(
-            lambda it: _best_pairs(it, rule), "band int, key long, x long, y long"
-        )
+        pairs = _sorted(rows).mapInPandas(lambda it: _best_pairs(it, rule), "band int, key long, x long, y long")
         some = written(_ordered(pairs), "best-pairs")
         more = written(verified(some, sets, rule), "best-links")
         few = more.count() * 100 <= some.count()
@@ -601,10 +595,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         if few:
             break
         roots = connected(links)
-        dealt = _sorted(_with_sketches(_labelled(rows.drop("label", "pairs"), roots), classes))
+        dealt = _sorted(_labelled(rows.drop("label", "pairs"), roots))
     if n_rows:
         # Pairs are found again, now with the sets of those concerned; only links leave a task.
-        full = _sorted(_with_sketches(rows, classes).join(sets, "id"))
+        full = _sorted(rows.join(sets, "id"))
         rest = _ordered(full.mapInPandas(lambda it: _block_links(it, rule), "x long, y long"))
         roots = connected(links.unionByName(rest))
     named = written(
