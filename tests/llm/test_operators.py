@@ -562,3 +562,46 @@ def test_promising_pairs_count_in_the_first_band_they_share():
     best = pd.concat(minhash._best_pairs(iter([both]), minhash.Rule()))
     assert len(best) and set(best["band"]) == set(concerned["band"]) == {0}
     assert concerned["pairs"].sum() >= len(best)
+
+
+@pytest.mark.parametrize("many", [0, 64])
+def test_texts_too_far_from_all_others_leave_large_bands(spark, monkeypatch, many):
+    """Near copies of one text, most of them with too much of their own to be linked: rows dealt into
+    blocks follow the members, not their square, and every link is found, across sizes too."""
+    rng = random.Random(11)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "MANY", many)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+
+    def copy(changes, stop):
+        own = list(base)
+        for at in rng.sample(range(80), changes):
+            own[at] = f"v{rng.randrange(10**6)}"
+        return " ".join(own[:stop])
+
+    texts = [copy(rng.randint(4, 6), 80) for _ in range(150)]
+    texts += [copy(k, stop) for k in (1, 2, 3) for stop in (66, 70, 75, 80) for _ in range(4)]
+    # Two kinds with changes in common, each with its own part as well.
+    base[10:16] = [f"x{i}" for i in range(6)]
+    texts += [copy(k, 80) for k in (0, 1, 2, 3, 4) for _ in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    opened, dealt = [], []
+    find, deal = minhash._open_bands, minhash._dealt
+    monkeypatch.setattr(minhash, "_open_bands", lambda members, roots: opened.append(find(members, roots)) or opened[-1])
+    monkeypatch.setattr(minhash, "_dealt", lambda open_, classes: dealt.append((deal(open_, classes), classes)) or dealt[-1][0])
+    got = _by_id(minhash.near_duplicates(docs, minhash.Rule(words=4)))
+    want = brute.components(list(enumerate(texts)), 4)
+    assert {k: (r["n_shingles"], r["component_id"]) for k, r in got.items()} == want
+    assert 2 < len({c for _, c in want.values()}) < len(texts)
+    (rows, classes), = dealt
+    assert rows.count() * 3 < deal(opened[0], classes).count()
+
+
+def test_shared_shingles_are_those_any_other_has(spark):
+    sets = {1: range(10), 2: range(5, 12), 3: range(11, 14), 4: range(100, 103), 5: []}
+    table = spark.createDataFrame(
+        [(i, len(s), np.array(s, np.uint64).tobytes()) for i, s in sets.items()], "id long, n long, grams binary"
+    )
+    ids = spark.createDataFrame([(i,) for i in (1, 2, 4, 5)], "id long")
+    got = {r["id"]: (r["n"], r["shared"]) for r in minhash._shared(ids, table, table).collect()}
+    assert got == {1: (10, 5), 2: (7, 5), 4: (3, 0), 5: (0, 0)}

@@ -15,7 +15,8 @@ All pairs of a band are never made. First each class is paired with the least me
 of its bands, the most promising of these pairs is verified, and components are formed. That
 settles bands of two, whose only pair is verified whenever it is promising. Then
 only bands that still hold two components are looked at: their members are dealt into blocks once,
-and blocks compared with blocks, pairs within a component being passed over. Only members of
+and blocks compared with blocks, pairs within a component being passed over. From bands of more than one
+block go first all members that share too few shingles with others there to be linked. Only members of
 promising pairs, each counted in the first band it shares, go on. Where these pairs are few, all
 are verified at once. Where they are many, the best partner of each member is first, and components are
 formed anew as long as that links some; then what is left across components is compared again.
@@ -36,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import table, written
 from tidemark.llm.components import connected
@@ -347,6 +348,7 @@ def _candidates(rows: pd.DataFrame, cuts: np.ndarray, rule: Rule, best: bool) ->
     """Row numbers of the promising pairs across components within pairs of blocks, some at a
     time, by the first row: those whose first shared band this is, of each row all or the best one."""
     regs, size, label = _rows(rows["sketch"]), rows["n"].to_numpy(), rows["label"].to_numpy()
+    shared = rows.get("shared", rows["n"]).to_numpy()
     band, empty = rows["band"].to_numpy(), np.packbits(regs == EMPTY, axis=1).view(np.uint64)
     length = np.diff(cuts)
     stop = np.repeat(cuts[1:], length)
@@ -364,8 +366,9 @@ def _candidates(rows: pd.DataFrame, cuts: np.ndarray, rule: Rule, best: bool) ->
         x = np.repeat(np.arange(at, to), count)
         y = np.arange(len(x)) + np.repeat(start[at:to] - (total[at:to] - count - done), count)
         at = to
-        small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
-        fine = (label[x] != label[y]) & (100 * small >= rule.percent * large)
+        # No more in common than either has in common with others; with all shared, a limit to sizes.
+        most = np.minimum(shared[x], shared[y])
+        fine = (label[x] != label[y]) & ((100 + rule.percent) * most >= rule.percent * (size[x] + size[y]))
         x, y = x[fine], y[fine]
         if not len(x):
             continue
@@ -404,7 +407,7 @@ def _concerned(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataF
             hit[x] = hit[y] = True
             pairs += np.bincount(x, minlength=len(rows))
         if hit.any():
-            yield rows.loc[hit, [*BLOCKS, "at", "id", "label", "n", "sketch"]].assign(pairs=pairs[hit])
+            yield rows.loc[hit].assign(pairs=pairs[hit])
 
 
 def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -455,11 +458,11 @@ def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``band, key, id, label, main, outer, inner``: members of bands that hold several components,
+    """``band, key, id, label, main, outer, inner, shared``: members of bands that hold several components,
     whether a member is in the component that has most of the band, and the number of blocks that
-    the others and its members are dealt into. A band that fits one block is one."""
+    the others and its members are dealt into. A band that fits one block is one. How many shingles
+    a member shares with others is not known yet."""
     labelled = written(_labelled(members.select("band", "key", "id"), roots), "band-labels")
-    blocks = lambda n: F.ceil(n / BLOCK).cast("long")
     several = (
         labelled.groupBy("band", "key", "label")
         .agg(F.count("*").alias("c"))
@@ -468,12 +471,77 @@ def _open_bands(members: DataFrame, roots: DataFrame) -> DataFrame:
         .where("m > top.c")
         .select(
             "band", "key", F.when(F.col("m") > BLOCK, F.col("top.label")).alias("most"),
-            F.when(F.col("m") > BLOCK, blocks(F.col("m") - F.col("top.c"))).otherwise(1).alias("outer"),
-            F.when(F.col("m") > BLOCK, blocks(F.col("top.c"))).otherwise(0).alias("inner"),
+            F.when(F.col("m") > BLOCK, _blocks(F.col("m") - F.col("top.c"))).otherwise(1).alias("outer"),
+            F.when(F.col("m") > BLOCK, _blocks(F.col("top.c"))).otherwise(0).alias("inner"),
         )
     )
     found = labelled.join(written(several, "several-components"), ["band", "key"])
-    return found.withColumn("main", F.coalesce(F.col("label") == F.col("most"), F.lit(False))).drop("most")
+    main = F.coalesce(F.col("label") == F.col("most"), F.lit(False))
+    return found.withColumn("main", main).withColumn("shared", F.lit(None).cast("long")).drop("most")
+
+
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / BLOCK).cast("long")
+
+
+def _one_by_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        n = batch["grams"].map(len).to_numpy() // 8
+        for _, part in batch.assign(n=n).groupby(n.cumsum() // PIECE):
+            grams = np.frombuffer(b"".join(part["grams"]), np.int64)
+            yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), part["n"]), "gram": grams})
+
+
+def _shared(ids: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, n, shared``: how many shingles each of ``ids`` has, and has in common with any other of them."""
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grams = sets.join(ids, "id", "left_semi").repartition(parts, "id").mapInPandas(_one_by_one, "id long, gram long")
+    alone = (
+        grams.groupBy("gram").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1")
+        .groupBy("id").agg(F.count("*").alias("alone"))
+    )
+    found = classes.select("id", "n").join(ids, "id", "left_semi").join(alone, "id", "left")
+    return found.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def _within_reach(open_: DataFrame, classes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """``open_`` without those members of bands of several blocks that nothing there can be linked with.
+
+    What only one member of these bands has is in no intersection, so the intersection of two is at
+    most what either shares, and a link needs (100 + percent) * shared >= percent * (n + n of the other)
+    on both sides: the other's size has to be within reach. Sizes within a band are put into cells,
+    each with its least size and longest reach; a member stays where a cell of others may meet it."""
+    open_ = written(open_, "open-bands")
+    one = F.col("outer") + F.col("inner") == 1
+    large = open_.where(~one).drop("shared")
+    if large.isEmpty():
+        return open_
+    shared = written(_shared(large.select("id").distinct(), classes, sets), "shared-shingles")
+    p = rule.percent
+    reach = (100 + p) * F.col("shared") - p * F.col("n")
+    members = written(large.join(shared, "id", "left").withColumn("reach", reach), "large-bands")
+    cells = (
+        members.groupBy("band", "key", "main", F.floor(16 * F.log("n")).alias("cell"))
+        .agg(F.min("n").alias("least"), F.max("reach").alias("longest"))
+        .groupBy("band", "key").agg(F.collect_list(F.struct("main", "least", "longest")).alias("cells"))
+    )
+    # Those of the component that has most of the band meet the others only.
+    meets = F.exists(
+        "cells",
+        lambda c: ~(c["main"] & F.col("main")) & (p * c["least"] <= F.col("reach")) & (c["longest"] >= p * F.col("n")),
+    )
+    left = written(members.join(cells, ["band", "key"]).where(meets).drop("cells", "outer", "inner"), "within-reach")
+    wide = F.col("m") > BLOCK
+    counts = (
+        left.groupBy("band", "key").agg(F.count("*").alias("m"), F.count_if("main").alias("most")).where("m > most")
+        .select(
+            "band", "key", wide.alias("wide"),
+            F.when(wide, _blocks(F.col("m") - F.col("most"))).otherwise(1).alias("outer"),
+            F.when(wide, _blocks(F.col("most"))).otherwise(0).alias("inner"),
+        )
+    )
+    dealt = left.join(counts, ["band", "key"]).withColumn("main", F.col("main") & F.col("wide"))
+    return open_.where(one).unionByName(dealt.select(*open_.columns))
 
 
 def _dealt(open_: DataFrame, classes: DataFrame) -> DataFrame:
@@ -485,9 +553,10 @@ def _dealt(open_: DataFrame, classes: DataFrame) -> DataFrame:
     last = F.when(F.col("main"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
     return _sorted(
         open_.withColumn("at", at)
-        .select("band", "key", "id", "label", "at", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("to"))
-        .select("band", "key", "id", "label", "at", F.least("at", "to").alias("bi"), F.greatest("at", "to").alias("bj"))
+        .select("band", "key", "id", "label", "shared", "at", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("to"))
+        .withColumns({"bi": F.least("at", "to"), "bj": F.greatest("at", "to")}).drop("to")
         .join(classes.select("id", "n", "sketch"), "id")
+        .withColumn("shared", F.coalesce("shared", "n"))
     )
 
 
@@ -504,7 +573,7 @@ def _concerned_rows(dealt: DataFrame, rule: Rule) -> tuple[DataFrame, int, int]:
     rows = written(
         dealt.mapInPandas(
             lambda it: _concerned(it, rule),
-            "band int, key long, bi long, bj long, at long, id long, label long, n long, sketch binary, pairs long",
+            "band int, key long, bi long, bj long, at long, id long, label long, n long, shared long, sketch binary, pairs long",
         ),
         "concerned",
     )
@@ -581,7 +650,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # Then larger bands that hold more than one component: where many pairs are promising, the best
     # partners of each member, as long as that links anything, and at last all that is left.
     links, roots = first, connected(first)
-    dealt = _dealt(_open_bands(members.where("m > 2"), roots), classes)
+    dealt = _dealt(_within_reach(_open_bands(members.where("m > 2"), roots), classes, sets, rule), classes)
     while True:
         rows, n_rows, n_pairs = _concerned_rows(dealt, rule)
         if n_pairs <= MANY * n_rows:
