@@ -530,7 +530,7 @@ def _within_reach(open_: DataFrame, classes: DataFrame, sets: DataFrame, rule: R
         "cells",
         lambda c: ~(c["main"] & F.col("main")) & (p * c["least"] <= F.col("reach")) & (c["longest"] >= p * F.col("n")),
     )
-    left = written(members.join(cells, ["band", "key"]).where(meets).drop("cells", "outer", "inner"), "within-reach")
+    left = written(members.join(written(cells, "size-cells"), ["band", "key"]).where(meets).drop("cells", "outer", "inner"), "within-reach")
     wide = F.col("m") > BLOCK
     counts = (
         left.groupBy("band", "key").agg(F.count("*").alias("m"), F.count_if("main").alias("most")).where("m > most")
@@ -540,7 +540,7 @@ def _within_reach(open_: DataFrame, classes: DataFrame, sets: DataFrame, rule: R
             F.when(wide, _blocks(F.col("most"))).otherwise(0).alias("inner"),
         )
     )
-    dealt = left.join(counts, ["band", "key"]).withColumn("main", F.col("main") & F.col("wide"))
+    dealt = left.join(written(counts, "large-band-blocks"), ["band", "key"]).withColumn("main", F.col("main") & F.col("wide"))
     return open_.where(one).unionByName(dealt.select(*open_.columns))
 
 
